@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows a broadcast side may have; above it the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
@@ -72,3 +73,38 @@ def crc_mod(key: str | Column, modulus: int) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataFrame:
+    """df with further columns that compute makes, an Arrow batch at a time.
+
+    compute takes one Arrow array per input column and returns one per field of `ddl`.
+    Columns of df that are named like a new one give way to it.
+    """
+    new = T.StructType.fromDDL(ddl)
+    taken = {f.name.lower() for f in new}
+    keep = [c for c in df.columns if c.lower() not in taken]
+    fields = [df.schema[c] for c in keep]
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            made = compute(*(batch.column(len(keep) + i) for i in range(len(inputs))))
+            kinds = [pa.array(x) if not isinstance(x, pa.Array) else x for x in made]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *kinds], names=[*keep, *new.fieldNames()])
+
+    chosen = [F.col(f"`{c}`") for c in keep] + [F.col(f"`{c}`").alias(f"__input_{i}") for i, c in enumerate(inputs)]
+    return df.select(*chosen).mapInArrow(run, T.StructType([*fields, *new.fields]))
+
+
+def chunks(texts: list, most: int = 1_000_000):
+    """Ranges of a list of texts that hold about `most` characters each, one text at least."""
+    begin = size = 0
+    for at, text in enumerate(texts):
+        size += len(text or "") + 16
+        if size >= most:
+            yield begin, at + 1
+            begin, size = at + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)

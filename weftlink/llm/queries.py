@@ -3,14 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weftlink.llm import bpe
-from weftlink.llm.common import table
+from weftlink.llm import bpe, langid, toxicity
+from weftlink.llm.common import crc_mod, table
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    grammar = toxicity.train(docs, table(spark, sf_dir, "labels"), "crc32(cast(doc_id as string)) % 4 <> 2")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    return toxicity.score(docs, grammar).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_table(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_byte_bpe": op7_byte_bpe}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, "crc32(cast(doc_id as string)) % 3 <> 1")
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op8_language_id": op8_language_id,
+    "op7_byte_bpe": op7_byte_bpe,
+}
 ORACLES: dict[str, str] = {}
