@@ -180,7 +180,7 @@ def word_terms(word: str) -> list[str]:
 
 
 def learn_terms(toxic: list[str], clean: list[str]) -> dict[str, float]:
-    """Words and stems that mark toxic documents, with log odds, shortest reliable stem first."""
+    """Words and stems that mark toxic documents, with log odds; those that no clean one holds come first."""
     in_toxic: Counter[str] = Counter()
     bags = []
     for text in toxic:
@@ -194,7 +194,7 @@ def learn_terms(toxic: list[str], clean: list[str]) -> dict[str, float]:
         in_clean.update(open_terms.intersection(t for w in set(_word(text.lower())) if len(w) >= 3 for t in word_terms(w)))
     scale = len(toxic) / max(1, len(clean))
     odds = {t: float(np.log((in_toxic[t] + 0.1) / (in_clean[t] * scale + 0.1))) for t in open_terms}
-    strong = sorted((t for t in open_terms if in_clean[t] * scale * 12 <= in_toxic[t]), key=lambda t: (-in_toxic[t], len(t), t))
+    strong = sorted((t for t in open_terms if in_clean[t] * scale * 12 <= in_toxic[t]), key=lambda t: (in_clean[t] > 0, -in_toxic[t], len(t), t))
     holders: dict[str, set[int]] = {t: set() for t in strong}
     for k, bag in enumerate(bags):
         for t in bag.intersection(holders):
