@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import bpe, langid, toxicity
+from weftlink.llm import bpe, langid, minhash, mixing, toxicity
 from weftlink.llm.common import crc_mod, table
 
 
@@ -16,6 +16,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, grammar).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).taken()
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_table(table(spark, sf_dir, "documents"))
 
@@ -29,6 +37,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op6_mix_sources": op6_mix_sources,
     "op8_language_id": op8_language_id,
     "op7_byte_bpe": op7_byte_bpe,
 }
