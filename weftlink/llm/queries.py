@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import bpe, langid, minhash, mixing, toxicity
-from weftlink.llm.common import crc_mod, table
+from weftlink.llm import bpe, langid, minhash, mixing, toxicity, urlfilter, warc
+from weftlink.llm.common import Workspace, crc_mod, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, grammar).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op2_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "warc")
+    manifest = warc.write_pages(table(spark, sf_dir, "pages"), f"{work.root}/archives", work=work)
+    read = warc.read_archives(manifest, payloads=False).where("kind <> 'gap'")
+    return read.select("page_id", "payload_bytes", "payload_digest", F.col("kind").alias("record_type"), "refers_to")
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
@@ -35,10 +42,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_warc_salvage": op2_warc_salvage,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op10_url_filter": op10_url_filter,
     "op8_language_id": op8_language_id,
     "op7_byte_bpe": op7_byte_bpe,
 }
