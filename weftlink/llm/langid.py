@@ -220,13 +220,13 @@ def train(docs: DataFrame, learn: str = "true", vocabulary: str | None = None) -
     return LanguageModel.train(counts, vocabulary or default_vocabulary())
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """docs with lang_pred and score."""
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score, as columns of these names."""
 
     def compute(texts):
         import pyarrow as pa
 
-        names, certain = _scorer(model)(texts.to_pylist())
-        return pa.array(names, pa.string()), pa.array(certain, pa.float64())
+        found, certain = _scorer(model)(texts.to_pylist())
+        return pa.array(found, pa.string()), pa.array(certain, pa.float64())
 
-    return append_columns(docs, [text], "lang_pred string, score double", compute)
+    return append_columns(docs, [text], f"{names[0]} string, {names[1]} double", compute)

@@ -3,8 +3,8 @@
 A document has two small collections of half keys, each made of a few minhashes. A table
 is a pair of one half key from each collection, so m + m half keys serve m * m tables and
 the minhashes to compute are about the square root of what independent tables need. With
-HALVES = 8 half keys of ROWS = 2 minhashes in each collection, two sets of Jaccard
-similarity 0.85 meet in a table with probability over 0.9999.
+ROWS minhashes in a half key, each collection has as many half keys as make two sets at the
+threshold miss each other with a probability of at most MISS (8 and 8 at 0.85).
 
 Half keys that only one distinct set holds cannot meet anything and are dropped before the
 tables are formed. Equal sets are one node from the start. In each table bucket, every node
@@ -26,6 +26,8 @@ Other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +37,8 @@ from weftlink.llm.graph import components
 
 SHINGLE = 5
 PERCENT = 80
-HALVES = 8
 ROWS = 2
+MISS = 1e-4
 #: Members up to which a bucket's pairs are all compared.
 SMALL = 12
 _SEGMENT = 1 << 22
@@ -48,6 +50,12 @@ _LOWER = np.arange(256, dtype=np.uint64) + _U(1)
 _LOWER[65:91] += _U(32)
 
 
+def halves_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
+    """Half keys of a collection, so that sets at the threshold meet but for a share `miss`."""
+    apart = 1 - (percent / 100) ** rows
+    return 1 if apart <= 0 else max(1, math.ceil(math.log(miss / 2) / math.log(apart)))
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -202,8 +210,9 @@ def _open_buckets(members: DataFrame) -> DataFrame:
     return members.groupBy("key").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1")).where("m0 <> m1").select("key")
 
 
-def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(sketches, labels): every row's node, and the component label of every node that has a link."""
+    halves = halves_for(percent, rows)
     base = work.save(sketch(docs, shingle, halves, rows), "sketches")
     # One row for each distinct set, with the half keys that another set holds too.
     reps = work.save(base.where("node is not null").dropDuplicates(["node"]).select("node", "short", F.col("n_shingles").alias("n"), "halves"), "sets")
@@ -269,10 +278,10 @@ def _shared_counts(members: DataFrame, sets: DataFrame, work: Workspace) -> Data
     return counts
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, halves: int = HALVES, rows: int = ROWS) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     work = Workspace(docs.sparkSession, "minhash")
-    base, labels = links(docs, work, shingle, percent, halves, rows)
+    base, labels = links(docs, work, shingle, percent, rows)
     first = work.save(base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")), "first")
     label = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     label = work.save(label, "labelled")

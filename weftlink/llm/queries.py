@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftlink.llm import bpe, langid, minhash, mixing, toxicity, urlfilter, warc
+from weftlink.llm import bpe, chroma, langid, minhash, mixing, sharding, topk, toxicity, urlfilter, warc
 from weftlink.llm.common import Workspace, crc_mod, table
 
 
@@ -27,6 +27,16 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op4_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
+def op5_chroma_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no audio, so every vector of embeddings is rendered as a melody first."""
+    prints = chroma.fingerprint(table(spark, sf_dir, "embeddings"), "embedding", "vec_id", chroma.render)
+    return chroma.cluster(prints).withColumnRenamed("id", "vec_id")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).taken()
 
@@ -42,6 +52,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "block_probability")
 
@@ -50,9 +64,15 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_warc_salvage": op2_warc_salvage,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_extendible_sharding": op4_extendible_sharding,
+    "op5_chroma_fingerprints": op5_chroma_fingerprints,
     "op6_mix_sources": op6_mix_sources,
-    "op10_url_filter": op10_url_filter,
-    "op8_language_id": op8_language_id,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_language_id": op8_language_id,
+    "op9_ball_tree_top_k": op9_ball_tree_top_k,
+    "op10_url_filter": op10_url_filter,
+}
+ORACLES: dict[str, str] = {
+    "op4_extendible_sharding": sharding.ORACLE,
+    "op9_ball_tree_top_k": topk.ORACLE,
 }
-ORACLES: dict[str, str] = {}

@@ -267,8 +267,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: str = "true") -> Grammar:
     return fit(*([t for _, t in sorted(texts[mark])] for mark in (1, 0)))
 
 
-def score(docs: DataFrame, grammar: Grammar, text: str = "text", threshold: float = 0.3) -> DataFrame:
-    """docs with score (0 to 1), predicted (1 from the threshold on)."""
+def score(docs: DataFrame, grammar: Grammar, text: str = "text", threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with the score (0 to 1) and the prediction (1 from the threshold on), as columns of these names."""
 
     def compute(texts):
         import pyarrow as pa
@@ -277,4 +277,4 @@ def score(docs: DataFrame, grammar: Grammar, text: str = "text", threshold: floa
         found = [reader.score(t) for t in texts.to_pylist()]
         return pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())
 
-    return append_columns(docs, [text], "score double, predicted int", compute)
+    return append_columns(docs, [text], f"{names[0]} double, {names[1]} int", compute)
