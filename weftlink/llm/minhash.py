@@ -10,10 +10,11 @@ Half keys that only one distinct set holds cannot meet anything and are dropped
 tables are formed. Equal sets are one node from the start. In each table bucket, every node
 is compared with the bucket's most central node; whatever one component joins then needs
 no further test. Of the rest, small buckets compare all pairs across components. In large
-ones a node is first counted for how many of its shingles any other component holds: a
-pair whose counts cannot reach the needed overlap is settled without being formed. That
-bound is exact, so no link that shares a bucket is lost, and neither thousands of near
-copies nor a passage shared by many documents lead to all pairs.
+ones a node is first counted for how many of its shingles any other component holds, and
+goes if that is too few for any link. Nodes that stay are looked up by the rarest part of
+their difference to the bucket's central node (see _by_difference). Both bounds are exact,
+so no link that shares a bucket is lost, and neither thousands of near copies nor a passage
+shared by many documents lead to all pairs.
 
 Contract of near_duplicates(): words are runs of other than ASCII white space, A-Z lower-
 cased; a set holds the distinct shingles of SHINGLE words, or the whole sequence if there
@@ -251,15 +252,21 @@ def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int
     large = large.join(held_by_others, "node").where(f"shared * 100 >= n * {percent}")
     least = work.save(large.groupBy("key").agg(F.min("n").alias("n0")), "least")
     large = work.save(large.join(least, "key").where(f"shared * {100 + percent} >= (n + n0) * {percent}").drop("n0"), "large")
-    left = large.join(work.save(_open_buckets(large), "left"), "key")
-
-    def across(rows: DataFrame, extra: str) -> DataFrame:
-        x, y = rows.alias("x"), rows.alias("y")
-        test = f"x.key = y.key and x.mark <> y.mark and x.node < y.node and {fits.format('x.n', 'y.n')} and {extra}"
-        return x.join(y, F.expr(test)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-
-    more = across(small, "true").union(across(left, f"least(x.shared, y.shared) * {100 + percent} >= (x.n + y.n) * {percent}")).distinct()
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # Third round: the node that has most of its shingles in common with others, against the other components.
+    ranked = large.groupBy("key").agg(F.max(F.struct(F.expr("shared / n").alias("part"), "node", "n", "mark")).alias("top"))
+    pivots = work.save(ranked.select("key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"), F.col("top.mark").alias("pivot_mark")), "pivots")
+    again = large.join(pivots, "key").where(F.expr("mark <> pivot_mark") & F.expr(fits.format("n", "pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    again = work.save(again.distinct().join(star, ["a", "b"], "left_anti"), "again")
+    edges = work.save(edges.union(_verify(again, sets, percent)), "edges")
+    labels = components(edges, work)
+    small = work.save(_with_component(small.drop("comp", "mark"), labels), "small")
+    large = work.save(_with_component(large.drop("comp", "mark"), labels), "large")
+    left = work.save(large.join(work.save(_open_buckets(large), "left"), "key").join(pivots, "key").select("pivot", "node", "n", "mark").distinct(), "by-pivot")
+    x, y = small.alias("x"), small.alias("y")
+    test = f"x.key = y.key and x.mark <> y.mark and x.node < y.node and {fits.format('x.n', 'y.n')}"
+    across = x.join(y, F.expr(test)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    more = across.union(_by_difference(left, sets, percent, work)).distinct()
+    tested = star.union(again).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = work.save(more.join(tested, ["a", "b"], "left_anti"), "more")
     found = work.save(_verify(more, sets, percent), "found")
     if not found.isEmpty():
@@ -268,6 +275,55 @@ def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int
     return base, labels
 
 
+def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """pairs(pivot, node, mark) with what either set has alone (diff), whether they are linked, and `least`: how many
+    elements of diff a node must have in common with the diff of another node that is not linked with the pivot."""
+    ours = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("set_p"))
+    both = pairs.select("pivot", "node", "mark").join(sets, "node").join(ours, "pivot").select("pivot", "node", "mark", "set_p", "shingles")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            diffs, linked, least = [], [], []
+            for p, v in zip(batch.column(3), batch.column(4), strict=True):
+                p, v = p.values.to_numpy(), v.values.to_numpy()
+                diff = np.setxor1d(p, v, assume_unique=True)
+                joint = (len(p) + len(v) - len(diff)) // 2
+                diffs.append(diff)
+                linked.append(100 * joint >= percent * (len(p) + len(v) - joint))
+                least.append(max(1, ((100 + percent) * len(diff) + (100 - percent) * (len(p) - len(v))) // (2 * (100 + percent)) + 1))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(linked, pa.bool_()), pa.array(least, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))], names=["pivot", "node", "mark", "linked", "least", "diff"]
+            )
+
+    return both.mapInArrow(run, "pivot binary, node binary, mark long, linked boolean, least long, diff array<long>")
+
+
+def _by_difference(members: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """Candidate pairs across components among the members(pivot, node, n, mark) of each pivot's large buckets.
+
+    Two sets differ in exactly what the differences to their pivot differ in. Let u be not
+    linked with the pivot, and v any node: if u and v are linked, more than half of v's
+    difference (less a term for the sizes) is in u's too. So v need only be looked up by
+    the rarest part of its difference, which the usual prefix argument makes exact. Elements
+    that one node alone has come first in that order and find nothing.
+    """
+    diffs = work.save(_differences(members.where("node <> pivot"), sets, percent), "differences")
+    each = diffs.select("pivot", "node", "mark", "linked", (F.size("diff") - F.col("least") + 1).alias("prefix"), F.size("diff").alias("all"), F.explode("diff").alias("e"))
+    often = work.save(each.groupBy("pivot", "e").agg(F.count("*").alias("c")).where("c > 1"), "often")
+    shared = work.save(each.join(often, ["pivot", "e"]), "shared-elements")
+    ranked = shared.groupBy("pivot", "node", "mark", "linked", "prefix", "all").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("found"))
+    front = ranked.withColumn("keep", F.expr("greatest(0, int(prefix - (all - size(found))))")).where("keep > 0").select("pivot", "node", "mark", "linked", F.explode(F.expr("slice(found, 1, keep)")).alias("x"))
+    front = work.save(front.select("pivot", "node", "mark", "linked", F.col("x.e").alias("e")), "front")
+    v = front.where("linked").alias("v")
+    u = shared.where("not linked").select("pivot", "node", "mark", "e").alias("u")
+    w, z = (front.where("not linked").alias(name) for name in ("w", "z"))
+    with_linked = v.join(u, F.expr("v.pivot = u.pivot and v.e = u.e and v.mark <> u.mark")).select(F.least("v.node", "u.node").alias("a"), F.greatest("v.node", "u.node").alias("b"))
+    unlinked = w.join(z, F.expr("w.pivot = z.pivot and w.e = z.e and w.mark <> z.mark and w.node < z.node")).select(F.col("w.node").alias("a"), F.col("z.node").alias("b"))
+    return with_linked.union(unlinked).distinct()
+
+
 def _shared_counts(members: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
     """node and shared: how many of its shingles a node of another component in `members` holds."""
     nodes = work.save(members.select("node", "mark").distinct(), "large-nodes")
