@@ -36,6 +36,15 @@ LABELLED = [
     (1, "https://cheap-handbags.example.net/replica/sale"), (1, "http://secure-login-verify.example.com/account/update"), (1, "https://bank-login-alert.example.net/verify/password"),
     (1, "http://get-rich-quick.example.com/forex-signals"), (1, "https://bet-win.example.net/sportsbook/bonus"), (1, "http://poker-bonus.example.org/free-chips"),
     (1, "https://weight-loss-pills.example.com/miracle"), (1, "http://spam-links.example.net/page1"), (1, "https://click-ads.example.com/track/redirect"),
+    (1, "http://discount-pills.example.org/order-now"), (1, "https://generic-viagra.example.com/cheap"), (1, "http://pharma-pills.example.net/no-prescription"),
+    (1, "http://casino-slots.example.com/jackpot"), (1, "https://mega-casino.example.org/bonus-codes"), (1, "http://vegas-poker.example.net/casino/roulette"),
+    (1, "http://spam-mailer.example.com/bulk"), (1, "https://seo-spam.example.net/backlinks/buy"), (1, "http://farm-links.example.org/spam/2"),
+    (1, "https://quick-loans.example.com/payday"), (1, "http://cheap-loans.example.org/instant-credit"), (1, "http://adult-videos.example.org/xxx"),
+    (1, "https://porn-tube.example.com/free"), (1, "http://live-sex-cams.example.net/adult"), (1, "https://warez-crack.example.com/keygen"),
+    (1, "http://free-download-crack.example.net/serial.exe"), (1, "https://replica-bags.example.org/cheap-luxury"), (1, "http://fake-watches.example.net/replica-sale"),
+    (1, "http://login-secure-bank.example.org/verify-account"), (1, "https://paypal-login-update.example.net/password"), (1, "http://win-prize-click.example.com/claim"),
+    (1, "https://click-here-win.example.org/free-money"), (1, "http://sports-bet.example.com/win-bonus"), (1, "https://betting-tips.example.net/bet/odds"),
+    (1, "http://make-money-quick.example.org/rich"), (1, "https://miracle-diet-pills.example.net/weight-loss"),
     (0, "https://www.library.example.org/catalog/books"), (0, "http://news.city.example.com/politics/elections"), (0, "https://blog.garden.example.net/2023/roses"),
     (0, "http://docs.project.example.org/en/install.html"), (0, "https://www.museum.example.com/visit/hours"), (0, "http://m.weather.example.net/forecast"),
     (0, "https://university.example.edu/courses/history"), (0, "http://www.recipes.example.com/soup/tomato"), (0, "https://forum.bikes.example.net/threads/123"),
@@ -44,6 +53,15 @@ LABELLED = [
     (0, "http://journal.law.example.com/articles/88"), (0, "https://www.theatre.example.net/programme"), (0, "http://photos.nature.example.org/birds"),
     (0, "https://help.software.example.com/faq"), (0, "http://www.railways.example.net/timetable"), (0, "https://stories.children.example.com/es/cuentos"),
     (0, "http://radio.local.example.org/schedule"), (0, "https://www.council.example.net/meetings/minutes"), (0, "http://data.open.example.com/datasets/trees"),
+    (0, "https://www.news-daily.example.org/politics"), (0, "http://news.region.example.net/articles/55"), (0, "https://blog.travel.example.org/2022/paris"),
+    (0, "http://blog.science.example.com/posts/optics"), (0, "https://docs.library.example.net/en/guide.html"), (0, "http://wiki.history.example.com/articles/rome"),
+    (0, "https://en.wiki.example.net/physics"), (0, "http://www.city-museum.example.org/visit"), (0, "https://university.example.org/courses/physics"),
+    (0, "http://www.college.example.edu/en/history"), (0, "https://forum.gardeners.example.com/threads/9"), (0, "http://forum.software.example.org/topics/linux"),
+    (0, "https://www.recipes-home.example.net/soup"), (0, "http://cooking.kitchen.example.org/recipes/bread"), (0, "https://journal.medicine.example.net/articles/12"),
+    (0, "http://health.advice.example.com/sleep"), (0, "https://www.weather-city.example.org/forecast"), (0, "http://maps.city.example.com/en/streets"),
+    (0, "https://photos.travel.example.net/birds"), (0, "http://www.music-school.example.com/courses"), (0, "https://shop.books.example.org/children"),
+    (0, "http://library.school.example.net/catalog"), (0, "https://data.council.example.org/datasets"), (0, "http://www.theatre-city.example.com/programme"),
+    (0, "https://radio.news.example.net/schedule"), (0, "http://help.docs.example.com/faq"),
 ]
 
 
