@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 #: Rows a broadcast side may have; above it the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
+#: Rows of an Arrow batch that are worked on at a time, so that their texts exist only once in Python.
+SLICE_ROWS = 512
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -84,17 +86,20 @@ def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataF
     new = T.StructType.fromDDL(ddl)
     taken = {f.name.lower() for f in new}
     keep = [c for c in df.columns if c.lower() not in taken]
+    extra = [c for c in inputs if c not in keep]
+    at = [keep.index(c) if c in keep else len(keep) + extra.index(c) for c in inputs]
     fields = [df.schema[c] for c in keep]
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            made = compute(*(batch.column(len(keep) + i) for i in range(len(inputs))))
-            kinds = [pa.array(x) if not isinstance(x, pa.Array) else x for x in made]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *kinds], names=[*keep, *new.fieldNames()])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(begin, SLICE_ROWS)
+                made = compute(*(batch.column(i) for i in at))
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, *new.fieldNames()])
 
-    chosen = [F.col(f"`{c}`") for c in keep] + [F.col(f"`{c}`").alias(f"__input_{i}") for i, c in enumerate(inputs)]
+    chosen = [F.col(f"`{c}`") for c in keep] + [F.col(f"`{c}`").alias(f"__input_{i}") for i, c in enumerate(extra)]
     return df.select(*chosen).mapInArrow(run, T.StructType([*fields, *new.fields]))
 
 
