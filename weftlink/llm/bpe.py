@@ -18,10 +18,11 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
+from weftlink.llm.common import worker_state
+
 #: Entries a worker's cache of split pieces, and of transitions, may reach before it starts anew.
 CACHE_PIECES = 250_000
 CACHE_ARCS = 400_000
@@ -257,10 +258,9 @@ class Codec:
         return len(ids), hashlib.sha256(spelled.encode()).hexdigest(), decoded.hexdigest()
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
     """The codec of a rank file, one per worker process."""
-    return Codec(load_ranks(path), pattern)
+    return worker_state(("bpe", path, pattern), lambda: Codec(load_ranks(path), pattern))
 
 
 def default_vocabulary() -> tuple[str, str]:

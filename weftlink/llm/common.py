@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +81,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_held: dict[Any, Any] = {}
+
+
+def worker_state(key: Any, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps between tasks: the caches of the operator it served last.
+
+    Workers outlive stages, so another operator's caches go, and their memory is given
+    back, before new ones are made.
+    """
+    if key not in _held:
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # a C library without it
+            pass
+        _held[key] = make()
+    return _held[key]
+
+
 def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataFrame:
     """df with further columns that compute makes, an Arrow batch at a time.
 

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import append_columns, chunks, small_enough
+from weftlink.llm.common import append_columns, chunks, small_enough, worker_state
 
 LONG_WORD = 32
 MAX_PIECE = 10
@@ -183,15 +183,8 @@ class Scorer:
         return names, certain
 
 
-_scorers: dict[tuple, Scorer] = {}
-
-
 def _scorer(model: LanguageModel) -> Scorer:
-    """A worker keeps the scorer of the model it used last."""
-    if model.key not in _scorers:
-        _scorers.clear()
-        _scorers[model.key] = Scorer(model)
-    return _scorers[model.key]
+    return worker_state(("langid", model.key), lambda: Scorer(model))
 
 
 def train(docs: DataFrame, learn: str = "true", vocabulary: str | None = None) -> LanguageModel:

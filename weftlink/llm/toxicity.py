@@ -20,13 +20,12 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import append_columns, small_enough
+from weftlink.llm.common import append_columns, small_enough, worker_state
 
 #: Bounds of the labelled sample, by hash of doc_id.
 SAMPLE_TOXIC = 3000
@@ -153,26 +152,8 @@ class Acceptor:
         return float(1 / (1 + np.exp(-np.clip(logit, -500, 500))))
 
 
-@lru_cache(maxsize=2)
-def _machine(key: int, holder: _Holder) -> Acceptor:
-    return Acceptor(holder.grammar)
-
-
-class _Holder:
-    """Lets a worker keep one machine per grammar, by the grammar's key."""
-
-    def __init__(self, grammar: Grammar):
-        self.grammar = grammar
-
-    def __hash__(self):
-        return self.grammar.key
-
-    def __eq__(self, other):
-        return self.grammar.key == other.grammar.key
-
-
 def machine(grammar: Grammar) -> Acceptor:
-    return _machine(grammar.key, _Holder(grammar))
+    return worker_state(("toxicity", grammar.key), lambda: Acceptor(grammar))
 
 
 def word_terms(word: str) -> list[str]:
