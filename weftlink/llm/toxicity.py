@@ -46,7 +46,7 @@ INTENT = "will going gonna shall must werde wirst wird vais va voy va vamos".spl
 TARGETS = """you your yours yourself he she they them him her his their du dich dir dein deine ihr euch sie er tu te toi
 ton ta vous votre vos il elle ils elles tú ti usted ustedes vosotros él ella ellos ellas""".split()
 NEGATIONS = "not no never isn't aren't don't nobody nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún ninguna".split()
-REPORTS = """said says saying told called calls quoted wrote claimed alleged according sagte sagt nannte laut schrieb dit
+REPORTS = """said says saying told called calls reported reports quoted wrote claimed alleged according sagte sagt nannte laut schrieb dit
 disait selon appelé écrit dijo dice según llamó escribió""".split()
 
 FEATURES = ["plain", "aimed", "negated", "reported", "threat", "strongest", "share"]
