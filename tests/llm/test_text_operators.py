@@ -110,8 +110,8 @@ def test_clause_grammar_reads_context():
 
 
 def test_learned_stems_need_varied_contexts():
-    toxic = [f"w{i} krumpf{chr(97 + i)}en x{i}" for i in range(20)]
-    clean = [f"w{i} ordinary x{i}" for i in range(40)]
+    toxic = [f"q{chr(97 + i)} krumpf{chr(97 + i)}en end" for i in range(20)]
+    clean = [f"q{chr(97 + i % 20)} ordinary end" for i in range(40)]
     terms = toxicity.learn_terms(toxic, clean)
     assert any(t.startswith("krum") for t in terms) and "ordinary" not in terms
     assert not toxicity.learn_terms(["same copied text"] * 20, clean)

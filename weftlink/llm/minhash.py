@@ -355,3 +355,24 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     left = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
     again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
     return left if again.isEmpty() else left.dropDuplicates(["doc_id"])
+
+
+#: All pairs by their common shingles, and their transitive closure (three words, 85 percent).
+ORACLE = """
+with recursive words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents
+), sets as (
+    select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as g from words
+), sizes as (
+    select doc_id, count(*) as n from sets group by doc_id
+), pairs as (
+    select a.doc_id as a, b.doc_id as b, count(*) as i from sets a join sets b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2
+), links as (
+    select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * i >= 85 * (x.n + y.n - i)
+), reached(doc_id, other) as (
+    select doc_id, doc_id from documents union select links.b, reached.other from reached join links on links.a = reached.doc_id
+), least as (
+    select doc_id, min(other) as component_id from reached group by doc_id
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from least left join sizes using (doc_id)
+"""

@@ -73,6 +73,8 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {
+    "op2_warc_salvage": warc.ORACLE,
+    "op3_minhash_near_dedup": minhash.ORACLE,
     "op4_extendible_sharding": sharding.ORACLE,
     "op9_ball_tree_top_k": topk.ORACLE,
 }

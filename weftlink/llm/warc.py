@@ -298,3 +298,18 @@ def read_archives(paths: DataFrame, payloads: bool = True) -> DataFrame:
                     yield flush(rows)
 
     return paths.select("path").repartition(tasks).mapInArrow(run, RECORD_DDL)
+
+
+#: What the round trip must give, without any archive: digests are spelled in base 32 bit by bit.
+ORACLE = """
+with hashed as (
+    select page_id, octet_length(encode(coalesce(html, '')))::BIGINT as payload_bytes, sha1(coalesce(html, '')) as h from pages
+), bits as (
+    select *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * instr('0123456789abcdef', substr(h, i, 1)) - 3, 4)), '') as b,
+        min(page_id) over (partition by h) as first_page from hashed
+)
+select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * (substr(b, 5 * i + 1, 1) = '1')::INT
+        + 8 * (substr(b, 5 * i + 2, 1) = '1')::INT + 4 * (substr(b, 5 * i + 3, 1) = '1')::INT + 2 * (substr(b, 5 * i + 4, 1) = '1')::INT + (substr(b, 5 * i + 5, 1) = '1')::INT, 1)), '') as payload_digest,
+    case when page_id is not distinct from first_page then 'response' else 'revisit' end as record_type, case when page_id is distinct from first_page then first_page end as refers_to
+from bits
+"""
