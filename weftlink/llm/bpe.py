@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from weftlink.llm.common import worker_state
+from weftlink.llm.common import light_batches, worker_state
 
 #: Entries a worker's cache of split pieces, and of transitions, may reach before it starts anew.
 CACHE_PIECES = 250_000
@@ -271,6 +271,7 @@ def default_vocabulary() -> tuple[str, str]:
 
 def encode_table(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Every row's doc_id with token_ids (array of int) and the decoded text."""
+    light_batches(docs.sparkSession)
     where, split = default_vocabulary()
     where, split = path or where, pattern or split
 
@@ -291,6 +292,7 @@ def encode_table(docs: DataFrame, text: str = "text", path: str | None = None, p
 
 def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Every row's doc_id with n_tokens, ids_sha256 and decoded_sha256."""
+    light_batches(docs.sparkSession)
     where, split = default_vocabulary()
     where, split = path or where, pattern or split
 

@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 #: Rows a broadcast side may have; above it the same join runs as a shuffle join.
 BROADCAST_ROWS = 500_000
+#: Rows of an Arrow batch, which both the JVM and Python hold in full.
+BATCH_ROWS = 1000
 #: Rows of an Arrow batch that are worked on at a time, so that their texts exist only once in Python.
 SLICE_ROWS = 512
 
@@ -36,6 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def light_batches(spark: SparkSession) -> None:
+    """Let the session send at most BATCH_ROWS rows to Python at a time: texts and sets are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 class Workspace:
     """Intermediate tables of one operator call, written to the shared folder.
 
@@ -44,6 +53,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        light_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self.serial = 0
@@ -107,6 +117,7 @@ def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataF
     compute takes one Arrow array per input column and returns one per field of `ddl`.
     Columns of df that are named like a new one give way to it.
     """
+    light_batches(df.sparkSession)
     new = T.StructType.fromDDL(ddl)
     taken = {f.name.lower() for f in new}
     keep = [c for c in df.columns if c.lower() not in taken]

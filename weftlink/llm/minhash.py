@@ -42,7 +42,7 @@ ROWS = 2
 MISS = 1e-4
 #: Members up to which a bucket's pairs are all compared.
 SMALL = 12
-_SEGMENT = 1 << 22
+_SEGMENT = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)

@@ -163,13 +163,11 @@ def word_terms(word: str) -> list[str]:
 def learn_terms(toxic: list[str], clean: list[str]) -> dict[str, float]:
     """Words and stems that mark toxic documents, with log odds; those that no clean one holds come first."""
     in_toxic: Counter[str] = Counter()
-    bags = []
     for text in toxic:
-        bag = {t for w in set(_word(text.lower())) if len(w) >= 3 for t in word_terms(w)}
-        bags.append(bag)
-        in_toxic.update(bag)
+        in_toxic.update({t for w in set(_word(text.lower())) if len(w) >= 3 for t in word_terms(w)})
     least = max(3, len(toxic) // 1000)
     open_terms = {t for t, n in in_toxic.items() if n >= least}
+    in_toxic = Counter({t: in_toxic[t] for t in open_terms})
     in_clean: Counter[str] = Counter()
     for text in clean:
         in_clean.update(open_terms.intersection(t for w in set(_word(text.lower())) if len(w) >= 3 for t in word_terms(w)))
@@ -177,17 +175,16 @@ def learn_terms(toxic: list[str], clean: list[str]) -> dict[str, float]:
     odds = {t: float(np.log((in_toxic[t] + 0.1) / (in_clean[t] * scale + 0.1))) for t in open_terms}
     strong = sorted((t for t in open_terms if in_clean[t] * scale * 12 <= in_toxic[t]), key=lambda t: (in_clean[t] > 0, -in_toxic[t], len(t), t))
     holders: dict[str, set[int]] = {t: set() for t in strong}
-    for k, bag in enumerate(bags):
-        for t in bag.intersection(holders):
-            holders[t].add(k)
     before: dict[str, set[str]] = {t: set() for t in strong}
-    for text in toxic:
+    for k, text in enumerate(toxic):
         words = _word(text.lower())
         for last, word in zip(["", *words], words, strict=False):
             if len(word) >= 3:
                 for t in word_terms(word):
-                    if t in before and len(before[t]) < 2 * CONTEXTS:
-                        before[t].add(last)
+                    if t in before:
+                        holders[t].add(k)
+                        if len(before[t]) < 2 * CONTEXTS:
+                            before[t].add(last)
     kept: dict[str, float] = {}
     covered: set[int] = set()
     for t in strong:
