@@ -156,3 +156,41 @@ def test_validator(spark, tmp_path):
     ok = tmp_path / "ok"
     ok.write_text(good.read_text().replace("candidate", "matched"))
     assert validate.check(spark, str(ok), str(good), required, known).ok
+
+
+def test_embedding_store_resumes(spark, tmp_path):
+    from weftlink.operators.encode import EmbeddingStore
+
+    store = EmbeddingStore(spark, str(tmp_path / "vectors"))
+    rows = spark.createDataFrame([(1, "alpha beta"), (2, "alpha beta"), (3, None), (4, "gamma")], "id int, t string")
+    assert store.ensure(rows.limit(2), "t") == 1 and store.ensure(rows, "t") == 2 and store.ensure(rows, "t") == 0
+    got = {r.id: r.vec for r in store.attach(rows, "t").collect()}
+    assert got[1] == got[2] != got[4] and len(got[3]) == 64 and sum(x * x for x in got[1]) == pytest.approx(1)
+
+
+def test_score_files(spark, tmp_path):
+    from weftlink.operators.scorer import score_files
+
+    (tmp_path / "m").write_text("source1_entity_id\tmatched_entity_ids\nS1-1\tS2-1,S2-2\n")
+    (tmp_path / "c").write_text("source1_entity_id\tcandidate_entity_ids\nS1-1\tS2-1\nS1-2\t\n")
+    (tmp_path / "ids").write_text("entity_id\n S1-1 \n\nS1-2\n")
+    keys, truth = _keys(spark, "S1-1", "S1-2", "S1-3"), _links(spark, ("S1-1", "S2-1"), ("S1-1", "S2-3"))
+    found = score_files(spark, str(tmp_path / "m"), keys, truth, str(tmp_path / "ids"), str(tmp_path / "c"))
+    assert found.missing == 1 and found.measures.first().f05 == pytest.approx((1 + 0.5) / 2) and found.ceiling == pytest.approx((1 + 1.25 * 0.5 / 0.75) / 2)
+
+
+def test_data_folder(tmp_path, monkeypatch):
+    monkeypatch.setenv("WEFTLINK_DATA", str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError):
+        tables.data_folder()
+    (tmp_path / "d" / "train").mkdir(parents=True)
+    (tmp_path / "d" / "train" / "train_source1.tsv").write_text("x")
+    assert tables.data_folder(str(tmp_path / "d")) == str(tmp_path / "d")
+
+
+def test_settings_from_environment(monkeypatch):
+    from weftlink.plans.pipeline import Settings
+
+    monkeypatch.setenv("WEFTLINK_K_ANN", "7")
+    monkeypatch.setenv("WEFTLINK_NATIVE_EMBEDDING", "true")
+    assert (Settings.from_environment().k_ann, Settings.from_environment().native_embedding, Settings.from_environment().rate) == (7, True, 0.05)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def _keys(records: DataFrame) -> DataFrame:
 
 
 def _fit(spark: SparkSession, a: argparse.Namespace) -> int:
-    linkage = Linkage(spark, Settings(seed=a.seed), a.work, a.force)
+    linkage = Linkage(spark, replace(Settings.from_environment(), seed=a.seed), a.work, a.force)
     keys, truth = tables.read_truth(spark, a.data)
     fitted = linkage.fit(_records(spark, a.data, "train"), keys, truth)
     linkage.save(fitted, f"{a.work}/model")
@@ -34,7 +35,7 @@ def _fit(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def _predict(spark: SparkSession, a: argparse.Namespace) -> int:
-    linkage = Linkage(spark, Settings(seed=a.seed), a.work, a.force)
+    linkage = Linkage(spark, replace(Settings.from_environment(), seed=a.seed), a.work, a.force)
     records = _records(spark, a.data, a.split)
     matches, candidates = linkage.predict(linkage.load(f"{a.work}/model"), records)
     linkage.write(_keys(records), matches, candidates, a.out)
@@ -79,7 +80,7 @@ def _bench(spark: SparkSession, a: argparse.Namespace) -> int:
     records = _records(spark, a.data, a.split)
     n = records.count()
     sample = records.where(split.fraction("entity_id", a.seed) < a.share)
-    linkage = Linkage(spark, Settings(seed=a.seed))
+    linkage = Linkage(spark, replace(Settings.from_environment(), seed=a.seed))
     normal = linkage.normalize(sample)
     idf = linkage.fit_idf(normal)
     union = linkage.candidates(normal, idf)

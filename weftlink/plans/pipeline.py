@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass
+import os
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,17 @@ class Settings:
     rate: float = 0.05
     floor: float = 0.02
 
+    @classmethod
+    def from_environment(cls) -> Settings:
+        """Defaults, with what WEFTLINK_<NAME> variables set."""
+        found = {}
+        for f in fields(cls):
+            value = os.environ.get(f"WEFTLINK_{f.name.upper()}")
+            if value is not None:
+                kind = type(f.default)
+                found[f.name] = value.lower() in ("1", "true", "yes") if kind is bool else kind(value)
+        return cls(**found)
+
 
 class Linkage:
     """Normalize, block, featurize, train, tune, predict and validate.
@@ -100,7 +112,10 @@ class Linkage:
         pools = staged(split.assign_pools(keys, seed=s.seed, val=s.val_fraction, calib=s.calib_fraction, most_train=s.train_ids), "pools")
         val = pools.where("pool = 'val'").select("s1_entity_id")
         known = truth.join(val, "s1_entity_id", "left_semi")
-        k = s.k_final or blocking.choose_k(blocking.recall_sweep(union, val, known))
+        sweep = self._stage("recall-sweep", lambda: blocking.recall_sweep(union, val, known))
+        if self.store:
+            sweep.coalesce(1).write.mode("overwrite").csv(f"{self.store.folder}/recall_sweep_csv", header=True)
+        k = s.k_final or blocking.choose_k(sweep)
         rows = self.featurize(union, normal, k)
         trees, calibration = self.train(rows, truth, pools)
         assigned = self.assign(rows, trees, calibration)

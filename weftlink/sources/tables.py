@@ -5,6 +5,8 @@ Files are UTF-8 with a header, no quoting and \\n line ends; empty cells are emp
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,15 @@ from pyspark.sql import types as T
 RECORD_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
 
 
+def data_folder(*places: str) -> str:
+    """The first folder, of WEFTLINK_DATA and the given places, that holds train/train_source1.tsv."""
+    tried = [p for p in (os.environ.get("WEFTLINK_DATA"), *places, "data") if p]
+    for place in tried:
+        if os.path.exists(os.path.join(place, "train", "train_source1.tsv")):
+            return place
+    raise FileNotFoundError(f"no train/train_source1.tsv in {tried}")
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """All cells as text; nothing is taken for null."""
     header = spark.read.text(path).first()
