@@ -21,13 +21,14 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from weftlink.llm.common import light_batches, worker_state
+from weftlink.llm.common import light_batches, tidy, worker_state
 
 #: Entries a worker's cache of split pieces, and of transitions, may reach before it starts anew.
-CACHE_PIECES = 250_000
-CACHE_ARCS = 400_000
+CACHE_PIECES = 150_000
+CACHE_ARCS = 300_000
 DECODE_CHUNK = 8192
 _ROOT = 0
+_NODE = (1 << 20) - 1
 _NEVER = 1 << 60
 
 
@@ -57,11 +58,12 @@ class MergeTransducer:
                 node = step
             self.token_at[node] = rank
         self.ends: dict[int, tuple] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
-        start = ((-1, _ROOT),)
+        # A hypothesis is (token before it + 1) << 20 | trie node; a state is a tuple of hypotheses.
+        start = (_ROOT,)
         self.state_ids = {start: 0}
         self.states = [start]
         self.arcs: dict[int, tuple[int, int, bool]] = {}
@@ -104,7 +106,7 @@ class MergeTransducer:
         """Whether no merge crosses the border when two tokens' bytes are merged together."""
         if left < 0:
             return True
-        found = self.pairs.get((left, right))
+        found = self.pairs.get(left << 20 | right)
         if found is None:
             ours, theirs = self._ends(left)[2], self._ends(right)[1]
             i = j = 0
@@ -122,24 +124,24 @@ class MergeTransducer:
                     j += 1
                     continue
                 break
-            self.pairs[left, right] = found
+            self.pairs[left << 20 | right] = found
         return found
 
     def _arc(self, state: int, byte: int) -> tuple[int, int, bool]:
         """Next state, the token that ends here (each prefix has one last token, or -1), and
         whether all live hypotheses now begin here, so that the tokens so far are final."""
         children, token_at, live, closing = self.children, self.token_at, [], -1
-        for last, node in self.states[state]:
-            step = children[node].get(byte)
+        for hypothesis in self.states[state]:
+            step = children[hypothesis & _NODE].get(byte)
             if step is None:
                 continue
             if closing < 0 <= token_at[step]:
                 token = token_at[step]
-                if self._ends(token)[0] and self._adjacent(last, token):
+                if self._ends(token)[0] and self._adjacent((hypothesis >> 20) - 1, token):
                     closing = token
             if children[step]:
-                live.append((last, step))
-        live.append((closing, _ROOT))
+                live.append(hypothesis >> 20 << 20 | step)
+        live.append((closing + 1) << 20 | _ROOT)
         reached = tuple(live)
         where = self.state_ids.get(reached)
         if where is None:
@@ -287,7 +289,7 @@ def encode_table(docs: DataFrame, text: str = "text", path: str | None = None, p
                 names=["doc_id", "token_ids", "decoded"],
             )
 
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id long, token_ids array<int>, decoded string")
+    return docs.select("doc_id", text).mapInArrow(tidy(run), "doc_id long, token_ids array<int>, decoded string")
 
 
 def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -307,4 +309,4 @@ def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None =
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -94,6 +94,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _held: dict[Any, Any] = {}
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system; allocators would keep it otherwise."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     """What a Python worker keeps between tasks: the caches of the operator it served last.
 
@@ -103,14 +114,23 @@ def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     if key not in _held:
         _held.clear()
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # a C library without it
-            pass
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def tidy(run, key: Any = None):
+    """The batch function `run`, in a worker without other operators' caches, which gives memory back at its end."""
+
+    def tidied(batches):
+        if key is not None:
+            worker_state(key, object)
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataFrame:
     """df with further columns that compute makes, an Arrow batch at a time.
 
@@ -135,7 +155,7 @@ def append_columns(df: DataFrame, inputs: list[str], ddl: str, compute) -> DataF
                 yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *made], names=[*keep, *new.fieldNames()])
 
     chosen = [F.col(f"`{c}`") for c in keep] + [F.col(f"`{c}`").alias(f"__input_{i}") for i, c in enumerate(extra)]
-    return df.select(*chosen).mapInArrow(run, T.StructType([*fields, *new.fields]))
+    return df.select(*chosen).mapInArrow(tidy(run), T.StructType([*fields, *new.fields]))
 
 
 def chunks(texts: list, most: int = 1_000_000):

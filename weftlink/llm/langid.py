@@ -29,7 +29,7 @@ MAX_PIECE = 10
 SAMPLE_DOCS = 1500
 SAMPLE_WORDS = 20_000
 #: Words whose scores one worker keeps; it starts anew beyond.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
 #: Words after which a longer text gives no more certainty.
 FULL_EVIDENCE = 24
 UNKNOWN = 1e-7
@@ -156,8 +156,8 @@ class Scorer:
             if len(fresh) > len(self.scores):
                 self.scores = np.zeros((len(fresh), self.scores.shape[1]), np.float32)
         first = len(self.rows)
-        for begin in range(0, len(fresh), 20_000):
-            part = fresh[begin : begin + 20_000]
+        for begin in range(0, len(fresh), 4000):
+            part = fresh[begin : begin + 4000]
             self.scores[first + begin : first + begin + len(part)] = self.model.word_scores(part)
         self.rows.update(zip(fresh, range(first, first + len(fresh)), strict=True))
 

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import Workspace, small_enough
+from weftlink.llm.common import Workspace, small_enough, tidy
 from weftlink.llm.graph import components
 
 SHINGLE = 5
@@ -162,7 +162,7 @@ def sketch(docs: DataFrame, shingle: int, halves: int, rows: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "node", "short", "halves"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, node binary, short long, halves array<long>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run, "minhash"), "doc_id long, n_shingles long, node binary, short long, halves array<long>")
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -178,7 +178,7 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 [pa.array([node_of(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"]
             )
 
-    return docs.select("text").mapInArrow(run, "node binary, shingles array<long>")
+    return docs.select("text").mapInArrow(tidy(run, "minhash"), "node binary, shingles array<long>")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -199,7 +199,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * joint >= percent * (len(x) + len(y) - joint))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(tidy(run, "minhash"), "a binary, b binary")
 
 
 def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [*batch.columns[:3], pa.array(linked, pa.bool_()), pa.array(least, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))], names=["pivot", "node", "mark", "linked", "least", "diff"]
             )
 
-    return both.mapInArrow(run, "pivot binary, node binary, mark long, linked boolean, least long, diff array<long>")
+    return both.mapInArrow(tidy(run, "minhash"), "pivot binary, node binary, mark long, linked boolean, least long, diff array<long>")
 
 
 def _by_difference(members: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:

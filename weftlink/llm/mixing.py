@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import WORD, Workspace, small_enough
+from weftlink.llm.common import WORD, Workspace, small_enough, tidy
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -236,7 +236,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
                     columns = [np.full(len(order), shard), order, np.concatenate(kinds), np.concatenate(blocks), np.concatenate(words)]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["shard", "slot", "sid", "block", "words"])
 
-    filled = spark.range(0, shards, numPartitions=max(1, min(shards, 4 * spark.sparkContext.defaultParallelism))).mapInArrow(fill, "shard long, slot long, sid int, block long, words long")
+    filled = spark.range(0, shards, numPartitions=max(1, min(shards, 4 * spark.sparkContext.defaultParallelism))).mapInArrow(tidy(fill, "mixing"), "shard long, slot long, sid int, block long, words long")
     return Mix(sources, filled, placed, spans)
 
 
