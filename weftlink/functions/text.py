@@ -218,11 +218,15 @@ def _native(text: Column, others: str = r"[^\p{L}\p{N}\p{M}_\s]") -> Column:
 
 def normalize(df: DataFrame) -> DataFrame:
     """All normalized columns of records(entity_id, business_name, business_address, country)."""
-    out = with_addresses(with_names(df))
+    # The sound key comes last of the costly columns: nothing is inlined across its Python function,
+    # so what follows reads them instead of computing them again.
     name, address = F.coalesce("business_name", F.lit("")), F.coalesce("business_address", F.lit(""))
-    head, _ = first_cut(collapse_domains(F.replace(composed(name), F.lit("&"), F.lit(" and "))), TRADE_NAME)
+    out = df.withColumn("_cn", composed(name)).withColumn("_ca", composed(address))
+    out = out.withColumn("_cn", collapse_domains(F.replace("_cn", F.lit("&"), F.lit(" and "))))
+    head, _ = first_cut(F.col("_cn"), TRADE_NAME)
     out = out.withColumn("native_name", _native(strip_junk(head)))
-    out = out.withColumn("native_addr", _native(F.regexp_replace(composed(address), r"(?i)\b(?:city|town|village)\s+of\s+", "")))
+    out = out.withColumn("native_addr", _native(F.regexp_replace("_ca", r"(?i)\b(?:city|town|village)\s+of\s+", ""))).drop("_cn", "_ca")
+    out = with_names(with_addresses(out))
     half = lambda native, plain: F.when(F.col(native) != "", F.col(native)).otherwise(F.col(plain))
     return (
         out.withColumn("embed_text", F.trim(F.concat("name_core", F.lit(" | "), "addr_core")))
