@@ -15,6 +15,8 @@ from weftlink.llm.common import Workspace, table
 
 #: Posterior probability below which no language is certain enough.
 LEAST_CERTAIN = 0.5
+#: Cached arcs of the tokenizer: fewer than by itself, because executors keep heap from the stages before.
+TOKEN_CACHE = 80_000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of every document of the mix."""
-    return bpe.digest_table(docs)
+    return bpe.digest_table(docs, most_pieces=TOKEN_CACHE // 2, most_arcs=TOKEN_CACHE)
 
 
 STAGES = [

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from weftlink.llm.common import light_batches, tidy, worker_state
 
 #: Entries a worker's cache of split pieces, and of transitions, may reach before it starts anew.
-CACHE_PIECES = 150_000
-CACHE_ARCS = 300_000
+CACHE_PIECES = 250_000
+CACHE_ARCS = 400_000
 DECODE_CHUNK = 8192
 _ROOT = 0
 _NODE = (1 << 20) - 1
@@ -223,11 +223,12 @@ def decode_stream(ids: Iterable[int], by_id: dict[int, bytes]) -> Iterator[str]:
 class Codec:
     """Pattern split, transducer and decoder of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_pieces: int = CACHE_PIECES, most_arcs: int = CACHE_ARCS):
         import regex
 
         self.split = regex.compile(pattern).findall
-        self.machine = MergeTransducer(ranks)
+        self.machine = MergeTransducer(ranks, most_arcs)
+        self.most_pieces = most_pieces
         self.spelled: dict[str, str] = {}
         self.bytes_of = {str(rank): token for token, rank in ranks.items()}
 
@@ -237,7 +238,7 @@ class Codec:
     def encode_spelled(self, text: str) -> list[str]:
         """Ids in decimal, by piece; pieces seen before come from a bounded cache."""
         known = self.spelled
-        if len(known) > CACHE_PIECES:
+        if len(known) > self.most_pieces:
             known.clear()
         out = []
         for piece in self.split(text):
@@ -260,9 +261,9 @@ class Codec:
         return len(ids), hashlib.sha256(spelled.encode()).hexdigest(), decoded.hexdigest()
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, *most: int) -> Codec:
     """The codec of a rank file, one per worker process."""
-    return worker_state(("bpe", path, pattern), lambda: Codec(load_ranks(path), pattern))
+    return worker_state(("bpe", path, pattern, most), lambda: Codec(load_ranks(path), pattern, *most))
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -292,8 +293,8 @@ def encode_table(docs: DataFrame, text: str = "text", path: str | None = None, p
     return docs.select("doc_id", text).mapInArrow(tidy(run), "doc_id long, token_ids array<int>, decoded string")
 
 
-def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Every row's doc_id with n_tokens, ids_sha256 and decoded_sha256."""
+def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None = None, most_pieces: int = CACHE_PIECES, most_arcs: int = CACHE_ARCS) -> DataFrame:
+    """Every row's doc_id with n_tokens, ids_sha256 and decoded_sha256. The caches trade memory for time only."""
     light_batches(docs.sparkSession)
     where, split = default_vocabulary()
     where, split = path or where, pattern or split
@@ -301,7 +302,7 @@ def digest_table(docs: DataFrame, path: str | None = None, pattern: str | None =
     def run(batches):
         import pyarrow as pa
 
-        own = codec(where, split)
+        own = codec(where, split, most_pieces, most_arcs)
         for batch in batches:
             rows = [own.digest(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
