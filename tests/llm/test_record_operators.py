@@ -142,6 +142,43 @@ def test_recordings_cluster_like_all_pairs(spark):
     assert chroma.cluster(chroma.fingerprint(table.limit(0), "audio", "vec_id")).count() == 0
 
 
+def test_excerpts_of_long_recordings_are_found(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(6):
+        whole = chroma.render(list(rng.normal(size=4000) / 8))
+        begin = int(rng.integers(100, 7000)) * chroma.HOP
+        rows += [(10 * i, whole.tobytes()), (10 * i + 1, whole[begin : begin + 300 * chroma.HOP].tobytes())]
+    found = {r.id: (r.n_codes, r.component_id) for r in chroma.cluster(chroma.fingerprint(spark.createDataFrame(rows, "vec_id long, audio binary"), "audio", "vec_id")).collect()}
+    assert all(found[i][0] > 25 * found[i + 1][0] for i in range(0, 60, 10))
+    assert [found[i][1] for i in sorted(found)] == [i // 10 * 10 for i in sorted(found)]
+
+
+def test_matches_without_a_common_bigram_are_found(spark):
+    rng = np.random.default_rng(8)
+    rows, prints = [], {}
+    for i in range(8):
+        x = rng.integers(0, 1 << 32, 60)
+        y = x ^ (np.arange(60) % 2)
+        for key, own in ((10 * i, x), (10 * i + 1, y)):
+            prints[key] = own
+            rows.append((key, own.tolist(), chroma.bigram_keys(own).tolist()))
+        assert chroma.matches(x, y) and not len(np.intersect1d(chroma.bigram_keys(x, 99), chroma.bigram_keys(y, 99)))
+    rows += [(500 + i, [7] * 5, [1]) for i in range(2)] + [(600 + i, [7] * (3000 + i), [2]) for i in range(2)]
+    found = {r.id: r.component_id for r in chroma.cluster(spark.createDataFrame(rows, "id long, codes array<long>, keys array<long>")).collect()}
+    assert found == {k: k // 10 * 10 for k in prints} | {500: 500, 501: 500, 600: 600, 601: 600}
+
+
+def test_votes_equal_direct_counts(monkeypatch):
+    rng = np.random.default_rng(9)
+    x, y = rng.integers(0, 40, 700), rng.integers(0, 40, 300)
+    x[100:400], y[50:200] = 5, 5
+    want = [sum(int(x[i] == y[i - o]) for i in range(max(0, o), min(700, 300 + o))) for o in range(-299, 700)]
+    for most in (1 << 22, 1000):
+        monkeypatch.setattr(chroma, "VOTES", most)
+        assert chroma._votes(x, y).tolist() == want
+
+
 def _brute(rows, k=5):
     sound = [(i, [int(np.floor(256.0 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []

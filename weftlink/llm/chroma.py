@@ -8,10 +8,11 @@ differ where they overlap.
 
 Contract of cluster(): one row per recording with n_codes, copy_of (least id with the same
 codes) and component_id (least id among all that alignments connect). Null or too short
-audio has no codes and is a component of its own, as are null ids. Candidates share one of
-KEYS bigrams of codes, those of least hash; recall against all pairs is measured in the
-tests. Each bucket's least recording is compared with the others first; then pairs that are
-still in different components. Repeated rows are copies. Other columns are not read.
+audio has no codes and is a component of its own, as are null ids. Every pair that matches()
+accepts is in one component: recordings that share one of KEYS bigrams of codes are compared
+with the least of them first, which only saves work; then all pairs still in different
+components that have MIN_VOTES codes in common, every code of every recording counted, are
+aligned. Repeated rows are copies. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ KEYS = 24
 MIN_VOTES = 6
 MAX_ERROR = 0.2
 MIN_OVERLAP = 24
+#: Recordings with a code from which its join is salted, and votes counted at a time.
+HOT_CODE = 1000
+SALTS = 16
+VOTES = 1 << 22
 _U = np.uint64
 
 
@@ -105,18 +110,39 @@ def codes(frames: np.ndarray) -> np.ndarray:
     return packed.astype(np.int64)
 
 
-def align(x: np.ndarray, y: np.ndarray) -> tuple[int, int, float, int]:
-    """(offset of y in x, votes, share of differing bits, overlap) at the offset most voted for; ties to the smallest."""
+def _votes(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Equal integers at each offset of y in x, from 1 - len(y) on."""
+    n = len(x) + len(y) - 1
+    votes = np.zeros(n, np.int64)
     order = np.argsort(y, kind="stable")
     left, right = np.searchsorted(y[order], x, "left"), np.searchsorted(y[order], x, "right")
     counts = right - left
-    if not counts.any():
+    if counts.sum() > VOTES:  # of a code that is frequent in both, as silence is, a convolution counts the votes
+        values, at, own = np.unique(x, return_index=True, return_counts=True)
+        for v in values[own * counts[at] > 32 * n]:
+            size = 1 << n.bit_length()
+            votes += np.rint(np.fft.irfft(np.fft.rfft(x == v, size) * np.fft.rfft((y == v)[::-1], size), size)[:n]).astype(np.int64)
+            counts[x == v] = 0
+    ends = np.cumsum(counts)
+    begin = 0
+    while begin < len(x):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + VOTES, "right")))
+        part = counts[begin:end]
+        own = np.repeat(np.arange(begin, end), part)
+        inner = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part)
+        votes += np.bincount(own - order[np.repeat(left[begin:end], part) + inner] + len(y) - 1, minlength=n)
+        begin = end
+    return votes
+
+
+def align(x: np.ndarray, y: np.ndarray) -> tuple[int, int, float, int]:
+    """(offset of y in x, votes, share of differing bits, overlap) at the offset most voted for; ties to the smallest."""
+    if not len(x) or not len(y):
+        return 0, 0, 1.0, 0
+    votes = _votes(x, y)
+    if not votes.any():
         return 0, 0, 1.0, 0
-    own = np.repeat(np.arange(len(x)), counts)
-    inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    offsets = own - order[np.repeat(left, counts) + inner]
-    values, votes = np.unique(offsets, return_counts=True)
-    best = int(values[votes.argmax()])
+    best = int(votes.argmax()) - len(y) + 1
     a, b = (x[best:], y) if best >= 0 else (x, y[-best:])
     n = min(len(a), len(b))
     return best, int(votes.max()), float(np.bitwise_count((a[:n] ^ b[:n]).astype(np.uint64)).sum() / (32 * n)), n
@@ -181,36 +207,67 @@ def _aligned(pairs: DataFrame, prints: DataFrame) -> DataFrame:
                 if votes >= MIN_VOTES and error <= MAX_ERROR and overlap >= min(MIN_OVERLAP, len(left), len(right)):
                     out.append((a.as_py(), b.as_py(), offset, votes, error))
             columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], names=["a", "b", "offset", "votes", "error"])
 
-    return pairs.select("a", "b").join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a string, b string, offset int, votes int, error double")
+    return pairs.select("a", "b").join(y, "b").join(x, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, offset int, votes int, error double")
+
+
+def _postings(reps: DataFrame) -> DataFrame:
+    """Every code of every recording, with the times it occurs there."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [np.unique(c.values.to_numpy(), return_counts=True) for c in batch.column(1)]
+            node = np.repeat(batch.column(0).to_numpy(), [len(v) for v, _ in found])
+            code, times = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["node", "code", "times"])
+
+    return reps.select("node", "codes").mapInArrow(run, "node long, code long, times long")
+
+
+def _sharing(reps: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs (a, b) of different components with MIN_VOTES codes in common, without which no offset has as many votes.
+
+    At one offset a code has no more votes than the rarer of its counts in the two
+    recordings, so no pair that matches is left out.
+    """
+    posts = _postings(reps).join(labels, "node", "left").select("node", "code", "times", F.coalesce("label", "node").alias("comp"))
+    posts = work.save(posts, "postings")
+    shared = posts.groupBy("code").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c")).where("c0 <> c1")
+    shared = work.save(shared.select("code", (F.col("c") > HOT_CODE).alias("hot")), "shared")
+    rest = work.save(posts.join(shared, "code"), "rest")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    x, y = rest.withColumn("salt", salt).alias("x"), rest.withColumn("salt", every).alias("y")
+    met = x.join(y, F.expr("x.code = y.code and x.salt = y.salt and x.comp <> y.comp and x.node < y.node"))
+    votes = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.sum(F.least("x.times", "y.times")).alias("votes"))
+    return votes.where(F.col("votes") >= MIN_VOTES).select("a", "b")
 
 
 def cluster(prints: DataFrame) -> DataFrame:
     """id, n_codes, copy_of and component_id of every row of fingerprint()."""
     work = Workspace(prints.sparkSession, "chroma")
-    prints = prints.withColumn("node", F.when(F.size("codes") > 0, F.sha2(F.expr("array_join(codes, ',')"), 256)))
+    prints = prints.withColumn("name", F.when(F.size("codes") > 0, F.sha2(F.expr("array_join(codes, ',')"), 256)))
     prints = work.save(prints, "prints")
-    first = work.save(prints.where("node is not null").groupBy("node").agg(F.min("id").alias("copy_of")), "first")
-    reps = work.save(prints.where("node is not null").dropDuplicates(["node"]).select("node", "codes", "keys"), "reps")
+    first = work.save(prints.where("name is not null").groupBy("name").agg(F.min("id").alias("copy_of")), "first")
+    reps = prints.where("name is not null").dropDuplicates(["name"]).select("name", F.monotonically_increasing_id().alias("node"), "codes", "keys")
+    reps = work.save(reps, "reps")
     held = reps.select("node", F.explode("keys").alias("key"))
     sizes = work.save(held.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1"), "buckets")
-    members = work.save(held.join(sizes, "key"), "members")
-    star = work.save(members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star")
+    star = work.save(held.join(sizes, "key").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star")
     edges = work.save(_aligned(star, reps), "edges")
     labels = components(edges, work)
-    marked = work.save(members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("comp")).withColumn("mark", F.xxhash64("comp")), "marked")
-    unsettled = work.save(marked.groupBy("key").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1")).where("m0 <> m1").select("key"), "unsettled")
-    rest = work.save(marked.join(unsettled, "key"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    pairs = x.join(y, F.expr("x.key = y.key and x.mark <> y.mark and x.node < y.node")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    pairs = _sharing(reps, labels, work)
     more = work.save(_aligned(pairs.join(star, ["a", "b"], "left_anti"), reps), "more")
     if not more.isEmpty():
         labels = components(edges.union(more), work)
-    label = work.save(first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "labelled")
+    label = first.join(reps.select("name", "node"), "name").join(labels, "node", "left").select("name", "copy_of", F.coalesce("label", "node").alias("label"))
+    label = work.save(label, "labelled")
     least = work.save(label.groupBy("label").agg(F.min("copy_of").alias("component_id")), "components")
-    nodes = work.save(label.join(least, "label").select("node", "copy_of", "component_id"), "by-node")
-    out = prints.select("id", F.size("codes").alias("n_codes"), "node").join(nodes, "node", "left")
-    alone = F.col("node").isNull()
+    nodes = work.save(label.join(least, "label").select("name", "copy_of", "component_id"), "by-name")
+    out = prints.select("id", F.size("codes").alias("n_codes"), "name").join(nodes, "name", "left")
+    alone = F.col("name").isNull()
     return out.select("id", "n_codes", F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
