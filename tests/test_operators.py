@@ -111,6 +111,20 @@ def test_inverted_lists_recall(spark):
     assert len(true & got) >= 0.9 * len(true)
 
 
+def test_inverted_lists_find_all_without_structure_and_by_group(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(11_000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    kinds = ["a"] * 5000 + ["b"] * 4500 + ["c"] * 1500
+    frame = spark.createDataFrame([(i, g, p.tolist()) for i, (g, p) in enumerate(zip(kinds, points, strict=True))], "id long, grp string, vec array<double>")
+    asked, base = frame.where("id % 50 = 0"), frame.where("id % 50 <> 0")
+    true = {(r.query_id, r.base_id): r["rank"] for r in neighbours.exact(asked, base, 20).collect()}
+    got = {(r.query_id, r.base_id): r["rank"] for r in neighbours.inverted(asked, base, 20).collect()}
+    assert len(true) == 220 * 20 and got == true
+
+
 def test_hard_negatives(spark):
     rows = spark.createDataFrame([("a", f"c{i}", i, int(i == 3)) for i in range(6)], "s1_entity_id string, cand_entity_id string, rank_for_s1 int, label int")
     assert {r.cand_entity_id for r in model.hard_negatives(rows, 2).collect()} == {"c0", "c1", "c3"}
