@@ -49,6 +49,24 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.read_archives(warc.write_pages(pages.limit(0), f"file://{tmp_path}/e")).count() == 0
 
 
+@pytest.mark.parametrize("pack", [warc.member, lambda r: r])
+def test_salvage_reads_headers_of_any_length(pack):
+    fixed = warc.encode_record(1, "", b"p").index(b"\r\n\r\n")
+    for size in (65_536 - fixed - 2, 65_536 - fixed, 150_000, 3_000_000):
+        parts = [pack(warc.encode_record(i, u, b"payload")) for i, u in enumerate(["http://a/0", "http://b/" + "x" * (size - 9), "http://c/2"])]
+        found = warc.salvage(b"".join(parts))
+        assert [warc.page_of(r.fields["warc-record-id"]) for r in found] == [0, 1, 2] and len(found[1].fields["warc-target-uri"]) == size
+    torn = warc.salvage(warc.encode_record(1, "u" * 200_000, b"p")[:150_000] + pack(warc.encode_record(2, "u", b"p")))
+    assert isinstance(torn[0], warc.Gap) and warc.page_of(torn[-1].fields["warc-record-id"]) == 2
+
+
+def test_pages_with_long_urls_come_back(spark, tmp_path):
+    rows = [(1, "http://a/" + "x" * 120_000, "same"), (2, "http://a/2", "same"), (3, "http://a/" + "ö" * 70_000, "other")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: (r.kind, r.url, r.refers_to) for r in warc.read_archives(warc.write_pages(pages, f"file://{tmp_path}/w")).collect()}
+    assert found == {1: ("response", rows[0][1], None), 2: ("revisit", rows[1][1], 1), 3: ("response", rows[2][1], None)}
+
+
 def test_warc_damage_on_disk_is_logged(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://a/{i}", f"page {i}" * 50) for i in range(30)], "page_id long, url string, html string").coalesce(1)
     manifest = warc.write_pages(pages, f"file://{tmp_path}/w")

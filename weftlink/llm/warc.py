@@ -32,10 +32,13 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 64 << 20
-MAX_HEADER = 1 << 16
+#: Bytes first read for a header; a longer one is read on in doubled blocks.
+HEADER = 1 << 16
 #: Compressed bytes read at a time, and salted copies of a duplicate group's first page.
 CHUNK = 1 << 20
 SALTS = 64
+#: Fields a header has once.
+SINGLE = ("warc-type", "warc-record-id", "content-length")
 _MEMBER = b"\x1f\x8b\x08"
 _LINE = b"WARC/1."
 
@@ -175,8 +178,15 @@ class Salvage:
 
 def parse(fetch: Callable[[int, int], bytes], length: int) -> tuple[tuple[dict[str, str], bytes], int]:
     """(fields, block) of the plain record at 0, and its size with the closing line ends."""
-    head = fetch(0, min(MAX_HEADER, length))
+    head = fetch(0, min(HEADER, length))
     close = head.find(b"\r\n\r\n")
+    while close < 0 and len(head) < length and head.startswith(_LINE):
+        more = fetch(len(head), min(len(head), length - len(head)))
+        if not more or any(b":" not in line for line in head.split(b"\r\n")[1:-1]):  # no header, however long
+            break
+        begin = max(0, len(head) - 3)
+        head += more
+        close = head.find(b"\r\n\r\n", begin)
     if not head.startswith(_LINE) or close < 0:
         raise Damaged("no version line or no end of the header")
     fields = {}
@@ -184,7 +194,10 @@ def parse(fetch: Callable[[int, int], bytes], length: int) -> tuple[tuple[dict[s
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without a colon")
-        fields[name.decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        key = name.decode("latin-1").lower()
+        if key in fields and key in SINGLE:
+            raise Damaged("header runs into another record's")
+        fields[key] = value.strip().decode("utf-8", "replace")
     size = fields.get("content-length", "")
     if not (size.isascii() and size.isdigit()):
         raise Damaged("no length")
