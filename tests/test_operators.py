@@ -3,8 +3,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from weftlink.operators import blocking, decide, metrics, model, neighbours, split, validate
-from weftlink.plans import surrogate
+from weftlink.operators import blocking, decide, metrics, model, neighbours, split, tfidf, validate
+from weftlink.plans import pipeline, surrogate
 from weftlink.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -125,6 +125,23 @@ def test_inverted_lists_find_all_without_structure_and_by_group(spark):
     assert len(true) == 220 * 20 and got == true
 
 
+def test_unseen_grams_have_the_highest_idf(spark):
+    known = spark.createDataFrame([("a", "xx"), ("b", "xx"), ("c", None)], "entity_id string, t string")
+    new = spark.createDataFrame([("d", "xx qq")], "entity_id string, t string")
+    got = {r.gram: r.w for r in tfidf.weights(new, "entity_id", "t", tfidf.fit_idf(known, "t")).collect()}
+    old, unseen = math.log(4 / 3) + 1, math.log(4) + 1
+    size = math.sqrt(3 * old**2 + 3 * unseen**2)
+    assert got == pytest.approx({g.replace("x", c): w / size for c, w in (("x", old), ("q", unseen)) for g in (" xx", "xx ", " xx ")})
+    assert [r.w for r in tfidf.weights(new, "entity_id", "t", tfidf.fit_idf(known.limit(0), "t")).collect()] == pytest.approx([1 / math.sqrt(6)] * 6)
+
+
+def test_frequencies_are_of_all_records(spark, monkeypatch):
+    monkeypatch.setattr(pipeline, "IDF_SAMPLE", 2, raising=False)
+    rows = spark.createDataFrame([(f"e{i}", f"S{1 + i % 3}", f"w{i}") for i in range(10, 40)], "entity_id string, source string, embed_text string")
+    found = {r.gram: r.df for r in pipeline.Linkage(spark).fit_idf(rows).collect()}
+    assert all(found.get(f"w{i} ") == 1 for i in range(10, 40))
+
+
 def test_hard_negatives(spark):
     rows = spark.createDataFrame([("a", f"c{i}", i, int(i == 3)) for i in range(6)], "s1_entity_id string, cand_entity_id string, rank_for_s1 int, label int")
     assert {r.cand_entity_id for r in model.hard_negatives(rows, 2).collect()} == {"c0", "c1", "c3"}

@@ -33,8 +33,10 @@ def fit_idf(texts: DataFrame, text: str) -> DataFrame:
 
 
 def weights(texts: DataFrame, key: str, text: str, idf: DataFrame) -> DataFrame:
-    """key, gram and w: (1 + ln tf) idf, scaled to length 1 by key. Grams that idf lacks weigh nothing."""
-    raw = term_counts(texts, key, text).join(idf.select("gram", "idf"), "gram").select(key, "gram", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    """key, gram and w: (1 + ln tf) idf, scaled to length 1 by key. Grams that idf lacks have df = 0: ln(1 + N) + 1."""
+    unseen = idf.agg(F.coalesce(F.max(F.col("idf") + F.log(F.lit(1.0) + F.col("df"))), F.lit(1.0)).alias("_unseen"))
+    known = term_counts(texts, key, text).join(idf.select("gram", "idf"), "gram", "left").crossJoin(F.broadcast(unseen))
+    raw = known.select(key, "gram", ((1 + F.log("tf")) * F.coalesce("idf", "_unseen")).alias("w"))
     size = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_size"))
     return raw.join(size, key).select(key, "gram", (F.col("w") / F.col("_size")).alias("w"))
 

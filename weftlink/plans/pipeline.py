@@ -14,8 +14,6 @@ from weftlink.operators import blocking, decide, features, metrics, model, neigh
 from weftlink.sources import tables
 from weftlink.sources.staging import StageStore, shared_folder, staged
 
-IDF_SAMPLE = 1_500_000
-
 
 @dataclass
 class Settings:
@@ -66,11 +64,8 @@ class Linkage:
         return self._stage(name, lambda: text.normalize(records))
 
     def fit_idf(self, normal: DataFrame) -> DataFrame:
-        """Document frequencies over all S1 records and a bounded, hash-ordered sample of the other sources."""
-        rest = normal.where("source <> 'S1'")
-        if rest.count() > 2 * IDF_SAMPLE:
-            rest = rest.orderBy(F.xxhash64("entity_id", F.lit(self.settings.seed))).limit(2 * IDF_SAMPLE)
-        return tfidf.fit_idf(normal.where("source = 'S1'").select("embed_text").union(rest.select("embed_text")), "embed_text")
+        """Document frequencies over all records of all sources."""
+        return tfidf.fit_idf(normal.where("source is not null").select("embed_text"), "embed_text")
 
     def candidates(self, normal: DataFrame, idf: DataFrame, name: str = "union") -> DataFrame:
         """The scored union of all blockers."""
