@@ -66,6 +66,55 @@ def test_near_duplicates_equal_brute_force(spark):
     assert kept == sum((d or 0) == (c or 0) for _, d, _, c in _brute(rows, 3, 85))
 
 
+def _family(rng, base, n, first, edits):
+    """n near copies of a text: words replaced, cut and put in."""
+    out = []
+    for k in range(n):
+        words = list(base)
+        for _ in range(rng.randint(0, edits)):
+            at, what = rng.randrange(len(words)), rng.random()
+            words[at : at + 1] = [] if what < 0.2 else [f"x{rng.randrange(3000)}"] if what < 0.9 else [words[at], f"x{rng.randrange(3000)}"]
+        out.append((first + k, " ".join(words)))
+    return out
+
+
+def _components_by_matrix(rows, size, percent):
+    """The least doc_id of every row's component, by counts of common shingles of all pairs."""
+    sets = [_set(t, size) for _, t in rows]
+    place = {g: i for i, g in enumerate(set().union(*sets))}
+    grid = np.zeros((len(rows), len(place)), np.float32)
+    for i, own in enumerate(sets):
+        grid[i, [place[g] for g in own]] = 1
+    joint, n = grid @ grid.T, grid.sum(axis=1)
+    linked = 100 * joint >= percent * (n[:, None] + n[None, :] - joint)
+    label = np.array([d for d, _ in rows])
+    while True:
+        least = np.where(linked, label[None, :], label.max()).min(axis=1)
+        if (least == label).all():
+            return dict(zip((d for d, _ in rows), label.tolist(), strict=True))
+        label = least
+
+
+def test_large_families_stay_linear(spark, monkeypatch):
+    """Groups of 2000 near copies around the threshold, in one and in four families: whole links from few pairs."""
+    verified, old = [], minhash._verify
+    monkeypatch.setattr(minhash, "_verify", lambda pairs, *rest: verified.append(pairs.count()) or old(pairs, *rest))
+    for families, size, percent in ((1, 5, 80), (4, 3, 85)):
+        pairs = []
+        for n in (500, 2000):
+            rng = random.Random(3)
+            passage = [f"p{i}" for i in range(70)]
+            rows = []
+            for f in range(families):
+                base = passage + [f"f{f}-{i}" for i in range(60)]
+                rows += _family(rng, base, n // families, 10_000 * (f + 1), 7)
+            verified.clear()
+            found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=size, percent=percent)
+            assert {r.doc_id: r.component_id for r in found.collect()} == _components_by_matrix(rows, size, percent)
+            pairs.append(sum(verified))
+        assert pairs[1] <= 10 * 2000 and pairs[1] <= 6 * pairs[0], pairs
+
+
 def test_near_duplicates_without_rows_or_links(spark):
     assert minhash.near_duplicates(empty_docs(spark)).count() == 0
     assert _found(minhash.near_duplicates(edge_docs(spark).select("doc_id", "text"))) == _brute([(r[0], r[1]) for r in edge_rows()], 5, 80)
@@ -73,13 +122,34 @@ def test_near_duplicates_without_rows_or_links(spark):
     assert left.where("doc_id = 7").count() == 1 and left.columns == edge_docs(spark).columns
 
 
+def test_null_and_repeated_ids_cost_no_text(spark):
+    rng = random.Random(1)
+    one, two, three, four = (" ".join(f"{c}{rng.randrange(500)}" for _ in range(80)) for c in "abcd")
+    near = lambda text: " ".join(text.split()[:-2])
+    rows = [(None, one, 1), (None, two, 2), (None, near(one), 3), (9, three, 4), (9, four, 5), (1, "x " + three, 6), (5, two, 7), (5, four + " y", 8), (None, None, 9), (None, "", 10), (None, "", 11), (4, three, 12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, _id int").select("_id", "doc_id", "text", "_id").toDF("_id", "doc_id", "text", "key")
+    kept = minhash.keep_one(table)
+    assert kept.columns == table.columns
+    found = sorted(r["_id"] for r in kept.collect())
+    assert found[0] in (1, 3) and found[1:] == [6, 7, 8, 9, 10, 11]
+    parts = {r.doc_id: r.component_id for r in minhash.near_duplicates(table).where("doc_id is not null").collect()}
+    assert parts[4] == parts[1] == 1
+    chain = [(None, one, 0), (3, "q r " + one, 0), (7, near(one) + " s t", 0)]  # 3 and 7 are linked through the text without an id
+    parts = minhash.near_duplicates(spark.createDataFrame(chain, "doc_id long, text string, node int"), shingle=5, percent=92)
+    assert {r.component_id for r in parts.collect()} == {3}
+
+
 def test_word_hashes_do_not_depend_on_segments(monkeypatch):
     text = " ".join(["Some", "wörds", "AND", "x" * 50] * 40)
     whole = minhash.word_hashes(text)
     assert len(whole) == 160 and (minhash.word_hashes("a\tb\x0bc") == minhash.word_hashes(" A  B\nC ")).all()
     monkeypatch.setattr(minhash, "_SEGMENT", 128)
     assert (minhash.word_hashes(text) == whole).all()
-    assert len(minhash.word_hashes("y" * 300 + " z")) == 2
+    assert len(minhash.word_hashes("y" * 300 + " z")) == 2 and not len(minhash.word_hashes(" \n"))
+    thue = "a"
+    for _ in range(10):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    assert len(set(minhash.word_hashes(f"{thue} {thue.translate(str.maketrans('ab', 'ba'))}").tolist())) == 2
 
 
 def test_half_keys_meet_at_the_threshold():

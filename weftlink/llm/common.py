@@ -82,6 +82,18 @@ def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame,
     return (F.broadcast(df) if fits else df), fits
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that df has not."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_mod(key: str | Column, modulus: int) -> Column:
     """crc32 of the key's decimal text, modulo `modulus`."""
     return F.crc32(F.col(key).cast("string") if isinstance(key, str) else key.cast("string")) % modulus
@@ -119,12 +131,12 @@ def worker_state(key: Any, make: Callable[[], Any]) -> Any:
     return _held[key]
 
 
-def tidy(run, key: Any = None):
+def tidy(run, key: Any = None, make: Callable[[], Any] = object):
     """The batch function `run`, in a worker without other operators' caches, which gives memory back at its end."""
 
     def tidied(batches):
         if key is not None:
-            worker_state(key, object)
+            worker_state(key, make)
         yield from run(batches)
         give_back()
 

@@ -7,14 +7,14 @@ ROWS minhashes in a half key, each collection has as many half keys as make two
 threshold miss each other with a probability of at most MISS (8 and 8 at 0.85).
 
 Half keys that only one distinct set holds cannot meet anything and are dropped before the
-tables are formed. Equal sets are one node from the start. In each table bucket, every node
-is compared with the bucket's most central node; whatever one component joins then needs
-no further test. Of the rest, small buckets compare all pairs across components. In large
-ones a node is first counted for how many of its shingles any other component holds, and
-goes if that is too few for any link. Nodes that stay are looked up by the rarest part of
-their difference to the bucket's central node (see _by_difference). Both bounds are exact,
-so no link that shares a bucket is lost, and neither thousands of near copies nor a passage
-shared by many documents lead to all pairs.
+tables are formed. Equal sets are one node from the start. Each table bucket names its most
+central node as its pivot, and buckets of one pivot become one group, so that a family of
+near copies, which shares most of its buckets, is one group with one row a node and not one
+row a node and bucket. Every node is compared with the pivots of its groups; whatever one
+component joins needs no further test. Of groups that still hold several components, small
+ones compare all pairs across components, and large ones go through _across_large(), whose
+bounds are exact. So no link that shares a bucket is lost, and neither thousands of near
+copies nor a passage shared by many documents lead to all pairs.
 
 Contract of near_duplicates(): words are runs of other than ASCII white space, A-Z lower-
 cased; a set holds the distinct shingles of SHINGLE words, or the whole sequence if there
@@ -23,17 +23,23 @@ per input row with doc_id, n_shingles, component_id (least doc_id of the compone
 only if all its doc_ids are) and kept (doc_id = component_id, null-safe). Repeated rows are
 copies of each other; when a doc_id repeats within a component all its rows say the same.
 Other columns are not read.
+
+Contract of keep_one(): one row of each component stays, the one with the least doc_id
+(nulls last; among different texts under that id the one with the least digest; among
+repeated rows any). Rows with an empty set all stay. Rows are told apart by doc_id and text,
+so a doc_id that several texts share, or null, costs no row. All columns come through.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import Workspace, small_enough, tidy
+from weftlink.llm.common import Workspace, free_names, small_enough, tidy, worker_state
 from weftlink.llm.graph import components
 
 SHINGLE = 5
@@ -42,13 +48,19 @@ ROWS = 2
 MISS = 1e-4
 #: Members up to which a bucket's pairs are all compared.
 SMALL = 12
-_SEGMENT = 1 << 18
+#: Groups whose bins of the bound may be broadcast (BINS small rows each).
+STEP_ROWS = 5000
+#: Pairs of one pivot that go to one task, and bins of the bound in _partnered().
+PIECE = 512
+BINS = 64
+#: Words of 64 bits in the parity sketch of what a node shares.
+PARITY = 8
+#: Bytes of a text whose words exist at a time, and words whose hashes a worker keeps.
+_SEGMENT = 1 << 20
+_KNOWN = 200_000
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
-_SPACE = np.zeros(256, bool)
-_SPACE[[32, *range(9, 14)]] = True
-_LOWER = np.arange(256, dtype=np.uint64) + _U(1)
-_LOWER[65:91] += _U(32)
+_edge = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def halves_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -57,16 +69,6 @@ def halves_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     return 1 if apart <= 0 else max(1, math.ceil(math.log(miss / 2) / math.log(apart)))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_POW = _powers(_BASE, _SEGMENT + 1)
-_INV = _powers(pow(_BASE, -1, 1 << 64), _SEGMENT + 1)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
@@ -74,34 +76,28 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _hash_words(raw: bytes) -> np.ndarray:
-    data = np.frombuffer(raw, np.uint8)
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).view(np.int8)))
-    begin, end = edge[::2], edge[1::2]
-    total = np.concatenate([[_U(0)], np.cumsum(_LOWER[data] * _POW[: len(data)])])
-    return mix((total[end] - total[begin]) * _INV[begin])
+class _WordHashes(dict):
+    """Hash of a word, kept for words that are not long."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        found = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) >= _KNOWN:
+                self.clear()
+            self[word] = found
+        return found
 
 
 def word_hashes(text: str) -> np.ndarray:
     """A hash of each word; long texts go by segments that end at white space."""
-    raw = text.encode("utf-8", "surrogatepass")
-    if len(raw) <= _SEGMENT:
-        return _hash_words(raw)
-    parts, at = [], 0
+    raw, get = text.encode("utf-8", "surrogatepass"), worker_state("minhash", _WordHashes).__getitem__
+    parts, at = [np.zeros(0, np.uint64)], 0
     while at < len(raw):
-        cut = min(len(raw), at + _SEGMENT)
-        if cut < len(raw):
-            white = max(raw.rfind(bytes([c]), at, cut) for c in (32, *range(9, 14)))
-            if white < at:  # a word longer than a segment
-                import xxhash
-
-                stop = min((p for c in (32, *range(9, 14)) if (p := raw.find(bytes([c]), cut)) >= 0), default=len(raw))
-                parts.append(np.array([xxhash.xxh3_64_intdigest(raw[at:stop].lower())], np.uint64))
-                at = stop
-                continue
-            cut = white + 1
-        parts.append(_hash_words(raw[at:cut]))
+        edge = _edge.search(raw, at + _SEGMENT)
+        cut = edge.start() if edge else len(raw)
+        parts.append(np.array(list(map(get, raw[at:cut].lower().split())), np.uint64))
         at = cut
     return np.concatenate(parts)
 
@@ -138,31 +134,27 @@ def node_of(shingles: np.ndarray) -> bytes:
 
 
 def sketch(docs: DataFrame, shingle: int, halves: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set), short (its first half) and halves (array of half keys)."""
+    """doc_id, digest (of the text), n_shingles, node (digest of the set) and halves (array of half keys)."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            n, node, short, keys = [], [], [], []
-            for text in batch.column(1):
+            n, node, keys = [], [], []
+            for text in batch.column(2):
                 own = shingle_set(text.as_py(), shingle)
                 n.append(len(own))
-                if len(own):
-                    digest = node_of(own)
-                    node.append(digest)
-                    short.append(int.from_bytes(digest[:8], "big", signed=True))
-                    keys.append(half_keys(own, halves, rows))
-                else:
-                    node.append(None)
-                    short.append(None)
-                    keys.append(None)
+                node.append(node_of(own) if len(own) else None)
+                keys.append(half_keys(own, halves, rows) if len(own) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(short, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "short", "halves"],
+                [*batch.columns[:2], pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "digest", "n_shingles", "node", "halves"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(tidy(run, "minhash"), "doc_id long, n_shingles long, node binary, short long, halves array<long>")
+    return docs.select("doc_id", _text_digest().alias("digest"), "text").mapInArrow(tidy(run, "minhash", _WordHashes), "doc_id long, digest binary, n_shingles long, node binary, halves array<long>")
+
+
+def _text_digest() -> Column:
+    return F.unhex(F.md5("text"))
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -178,18 +170,24 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
                 [pa.array([node_of(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"]
             )
 
-    return docs.select("text").mapInArrow(tidy(run, "minhash"), "node binary, shingles array<long>")
+    return docs.select("text").mapInArrow(tidy(run, "minhash", _WordHashes), "node binary, shingles array<long>")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs(a, b) whose sets are similar enough."""
-    ours = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+def _with_sets(pairs: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
+    """pairs(a, b, ...) with both sets. Many pairs may have the same a: they go to as many tasks as PIECE asks for."""
+    degree = work.save(pairs.groupBy("a").agg(F.count("*").alias("c")).select(F.col("a").alias("hub"), F.expr(f"bigint(ceil(c / {PIECE}))").alias("pieces")), "degrees")
+    heavy, _ = small_enough(degree.where("pieces > 1"))
+    spread = pairs.join(heavy, F.col("a") == F.col("hub"), "left").withColumn("piece", F.coalesce(F.expr("pmod(xxhash64(b), pieces)"), F.lit(0))).drop("hub", "pieces")
+    ours = degree.join(sets, F.col("hub") == F.col("node")).select(F.col("hub").alias("a"), F.explode(F.expr("sequence(0L, pieces - 1)")).alias("piece"), F.col("shingles").alias("set_a"))
     theirs = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    both = pairs.select("a", "b").join(theirs, "b").join(ours, "a").select("a", "b", "set_a", "set_b")
+    return spread.join(theirs, "b").join(ours, ["a", "piece"]).drop("piece")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """The pairs(a, b) whose sets are similar enough."""
 
     def run(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         for batch in batches:
             keep = []
@@ -199,148 +197,192 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * joint >= percent * (len(x) + len(y) - joint))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(tidy(run, "minhash"), "a binary, b binary")
-
-
-def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label").withColumn("mark", F.xxhash64("comp"))
+    both = _with_sets(pairs.select("a", "b"), sets, work).select("a", "b", "set_a", "set_b")
+    return both.mapInArrow(tidy(run, "minhash", _WordHashes), "a binary, b binary")
 
 
-def _open_buckets(members: DataFrame) -> DataFrame:
-    """Keys of the buckets that hold more than one component."""
-    return members.groupBy("key").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1")).where("m0 <> m1").select("key")
+def _marked(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """rows(node, ...) with the mark of each node's component."""
+    return rows.join(labels, "node", "left").withColumn("mark", F.xxhash64(F.coalesce("label", "node"))).drop("label")
 
 
 def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(sketches, labels): every row's node, and the component label of every node that has a link."""
     halves = halves_for(percent, rows)
     base = work.save(sketch(docs, shingle, halves, rows), "sketches")
-    # One row for each distinct set, with the half keys that another set holds too.
-    reps = work.save(base.where("node is not null").dropDuplicates(["node"]).select("node", "short", F.col("n_shingles").alias("n"), "halves"), "sets")
-    shared = work.save(
-        reps.select("short", F.explode("halves").alias("half")).groupBy("half").agg(F.min("short").alias("s0"), F.max("short").alias("s1")).where("s0 <> s1").select("half"), "shared"
-    )
-    held = reps.select("node", "n", F.posexplode("halves").alias("at", "half")).join(shared, "half")
-    sides = held.groupBy("node", "n").agg(*(F.collect_list(F.when(F.expr(f"at {test} {halves}"), F.col("half"))).alias(name) for test, name in (("<", "ours"), (">=", "theirs"))))
-    keys = work.save(
-        sides.select("node", "n", F.explode("ours").alias("x"), "theirs").select("node", "n", "x", F.explode("theirs").alias("y")).select(F.xxhash64("x", "y").alias("key"), "node", "n"), "keys"
-    )
-    sizes = work.save(keys.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "sizes")
-    members = work.save(keys.join(sizes, "key"), "members")
-    # First round: each bucket's most central node against the others.
-    central = members.groupBy("node").agg(F.sum("c").alias("central"))
-    central = work.save(central, "central")
-    ranked = members.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node", "n")).alias("top"))
-    pivots = work.save(ranked.select("key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n")), "pivots")
+    groups = work.save(_groups(base, halves, work), "groups")
+    sets = work.save(_member_sets(docs, base, groups, shingle, work), "shingles")
+    # Every node against the pivots of its groups.
     fits = f"least({{0}}, {{1}}) * 100 >= greatest({{0}}, {{1}}) * {percent}"
-    star = work.save(
-        members.join(pivots, "key").where(F.expr("node <> pivot") & F.expr(fits.format("n", "pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star"
-    )
-    ids = members.select("node").distinct().join(base.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted, _ = small_enough(work.save(ids.where("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "wanted"))
-    sets = work.save(_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("_id")), shingle).dropDuplicates(["node"]), "shingles")
-    edges = work.save(_verify(star, sets, percent), "edges")
-    labels = components(edges, work)
-    # Second round: buckets that still hold several components.
-    marked = work.save(_with_component(members, labels), "marked")
-    unsettled = work.save(_open_buckets(marked), "unsettled")
-    rest = work.save(marked.join(unsettled, "key"), "rest")
-    work.drop(keys, marked, members)
-    small = rest.where(F.col("c") <= SMALL)
-    large = rest.where(F.col("c") > SMALL)
-    held_by_others = _shared_counts(large, sets, work)
-    large = large.join(held_by_others, "node").where(f"shared * 100 >= n * {percent}")
-    least = work.save(large.groupBy("key").agg(F.min("n").alias("n0")), "least")
-    large = work.save(large.join(least, "key").where(f"shared * {100 + percent} >= (n + n0) * {percent}").drop("n0"), "large")
-    # Third round: the node that has most of its shingles in common with others, against the other components.
-    ranked = large.groupBy("key").agg(F.max(F.struct(F.expr("shared / n").alias("part"), "node", "n", "mark")).alias("top"))
-    pivots = work.save(ranked.select("key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"), F.col("top.mark").alias("pivot_mark")), "pivots")
-    again = large.join(pivots, "key").where(F.expr("mark <> pivot_mark") & F.expr(fits.format("n", "pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    again = work.save(again.distinct().join(star, ["a", "b"], "left_anti"), "again")
-    edges = work.save(edges.union(_verify(again, sets, percent)), "edges")
+    star = groups.where(F.expr("node <> pivot") & F.expr(fits.format("n", "pivot_n"))).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    star = work.save(star, "star")
+    edges = work.save(_verify(star, sets, percent, work), "edges")
     labels = components(edges, work)
-    small = work.save(_with_component(small.drop("comp", "mark"), labels), "small")
-    large = work.save(_with_component(large.drop("comp", "mark"), labels), "large")
-    left = work.save(large.join(work.save(_open_buckets(large), "left"), "key").join(pivots, "key").select("pivot", "node", "n", "mark").distinct(), "by-pivot")
-    x, y = small.alias("x"), small.alias("y")
-    test = f"x.key = y.key and x.mark <> y.mark and x.node < y.node and {fits.format('x.n', 'y.n')}"
-    across = x.join(y, F.expr(test)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    more = across.union(_by_difference(left, sets, percent, work)).distinct()
-    tested = star.union(again).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = work.save(more.join(tested, ["a", "b"], "left_anti"), "more")
-    found = work.save(_verify(more, sets, percent), "found")
+    # Groups that still hold several components.
+    marked = work.save(_marked(groups, labels), "marked")
+    still = marked.groupBy("pivot").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1"), F.count("*").alias("c")).where("m0 <> m1").select("pivot", (F.col("c") <= SMALL).alias("small"))
+    rest = work.save(marked.join(work.save(still, "open"), "pivot"), "rest")
+    x, y = rest.where("small").alias("x"), rest.where("small").alias("y")
+    across = x.join(y, F.expr(f"x.pivot = y.pivot and x.mark <> y.mark and x.node < y.node and {fits.format('x.n', 'y.n')}")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    found, more = _across_large(rest.where("not small and node <> pivot").drop("small", "mark"), sets, labels, edges, percent, work)
+    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    more = work.save(across.union(more).distinct().join(tested, ["a", "b"], "left_anti"), "more")
+    last = work.save(_verify(more, sets, percent, work), "found")
+    found = found.union(last)
     if not found.isEmpty():
         labels = components(edges.union(found), work)
-    work.drop(sets, rest, large)
+    work.drop(sets, rest, marked)
     return base, labels
 
 
-def _differences(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(pivot, node, mark) with what either set has alone (diff), whether they are linked, and `least`: how many
-    elements of diff a node must have in common with the diff of another node that is not linked with the pivot."""
-    ours = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("set_p"))
-    both = pairs.select("pivot", "node", "mark").join(sets, "node").join(ours, "pivot").select("pivot", "node", "mark", "set_p", "shingles")
+def _groups(base: DataFrame, halves: int, work: Workspace) -> DataFrame:
+    """pivot, pivot_n, node, n: the nodes that share a table bucket whose most central node is the pivot, and the pivot.
+
+    A node is the more central the more other sets hold its half keys.
+    """
+    reps = work.save(base.where("node is not null").dropDuplicates(["node"]).select("node", F.col("n_shingles").alias("n"), "halves"), "sets")
+    shared = work.save(reps.select(F.explode("halves").alias("half")).groupBy("half").agg(F.count("*").alias("c")).where("c > 1"), "shared")
+    shared, _ = small_enough(shared)
+    held = reps.select("node", "n", F.posexplode("halves").alias("at", "half")).join(shared, "half")
+    sides = held.groupBy("node", "n").agg(
+        F.sum("c").alias("central"), *(F.collect_list(F.when(F.expr(f"at {test} {halves}"), F.col("half"))).alias(name) for test, name in (("<", "ours"), (">=", "theirs")))
+    )
+    pairs = sides.select("node", "n", "central", F.explode("ours").alias("x"), "theirs").select("node", "n", "central", "x", F.explode("theirs").alias("y"))
+    keys = work.save(pairs.select(F.xxhash64("x", "y").alias("key"), "central", "node", "n"), "keys")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("central", "node", "n")).alias("top")).where("c > 1")
+    buckets, _ = small_enough(work.save(buckets.select("key", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n")), "buckets"))
+    return keys.select("key", "node", "n").join(buckets, "key").select("pivot", "pivot_n", "node", "n").distinct()
+
+
+def _member_sets(docs: DataFrame, base: DataFrame, groups: DataFrame, shingle: int, work: Workspace) -> DataFrame:
+    """The set of every node in groups, read from one text each (texts without a doc_id all)."""
+    ids = groups.select("node").distinct().join(base.select("node", "doc_id"), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids = work.save(ids.select(F.col("doc_id").alias("wanted")).distinct(), "wanted")
+    wanted, _ = small_enough(ids.where("wanted is not null"))
+    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("wanted")).select("text")
+    if not ids.where("wanted is null").isEmpty():
+        texts = texts.union(docs.where("doc_id is null").select("text"))
+    return _sets(texts, shingle).dropDuplicates(["node"])
+
+
+def _differences(members: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """members(pivot, pivot_n, node, n) with what either set has alone (diff), and whether they are linked."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            diffs, linked, least = [], [], []
-            for p, v in zip(batch.column(3), batch.column(4), strict=True):
+            diffs, linked = [], []
+            for p, v in zip(batch.column(4), batch.column(5), strict=True):
                 p, v = p.values.to_numpy(), v.values.to_numpy()
                 diff = np.setxor1d(p, v, assume_unique=True)
                 joint = (len(p) + len(v) - len(diff)) // 2
                 diffs.append(diff)
                 linked.append(100 * joint >= percent * (len(p) + len(v) - joint))
-                least.append(max(1, ((100 + percent) * len(diff) + (100 - percent) * (len(p) - len(v))) // (2 * (100 + percent)) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(linked, pa.bool_()), pa.array(least, pa.int64()), pa.array(diffs, pa.list_(pa.int64()))], names=["pivot", "node", "mark", "linked", "least", "diff"]
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(linked, pa.bool_()), pa.array(diffs, pa.list_(pa.int64()))], names=["pivot", "pivot_n", "node", "n", "linked", "diff"])
 
-    return both.mapInArrow(tidy(run, "minhash"), "pivot binary, node binary, mark long, linked boolean, least long, diff array<long>")
+    both = _with_sets(members.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "pivot_n", "n"), sets, work)
+    return both.select("a", "pivot_n", "b", "n", "set_a", "set_b").mapInArrow(tidy(run, "minhash", _WordHashes), "pivot binary, pivot_n long, node binary, n long, linked boolean, diff array<long>")
 
 
-def _by_difference(members: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """Candidate pairs across components among the members(pivot, node, n, mark) of each pivot's large buckets.
+def _partnered(diffs: DataFrame, labels: DataFrame, percent: int, work: Workspace) -> DataFrame:
+    """The rows of diffs that may have a link to another component of their group, with what they share.
 
-    Two sets differ in exactly what the differences to their pivot differ in. Let u be not
-    linked with the pivot, and v any node: if u and v are linked, more than half of v's
-    difference (less a term for the sizes) is in u's too. So v need only be looked up by
-    the rarest part of its difference, which the usual prefix argument makes exact. Elements
-    that one node alone has come first in that order and find nothing.
+    Adds mark, shared (the elements of diff that another component's diff holds, rarest
+    first), a = S |diff| - P n and t = 2 S |shared| - a, where S = 100 + percent and
+    P = 100 - percent. Two sets are linked if S times what they differ in is at most P
+    times the sum of their sizes, and they differ in what their diffs differ in. So for
+    linked u and v of different components 2 S |diff u & diff v| >= a(u) + a(v), which no
+    more than min(|shared|) elements can give: a(u) <= t(v) and a(v) <= t(u). Nodes that are
+    linked with the pivot are in one component, so they need a partner that is not. The
+    test is made by bins of a, which only lets more through.
     """
-    diffs = work.save(_differences(members.where("node <> pivot"), sets, percent), "differences")
-    each = diffs.select("pivot", "node", "mark", "linked", (F.size("diff") - F.col("least") + 1).alias("prefix"), F.size("diff").alias("all"), F.explode("diff").alias("e"))
-    often = work.save(each.groupBy("pivot", "e").agg(F.count("*").alias("c")).where("c > 1"), "often")
-    shared = work.save(each.join(often, ["pivot", "e"]), "shared-elements")
-    ranked = shared.groupBy("pivot", "node", "mark", "linked", "prefix", "all").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("found"))
-    front = ranked.withColumn("keep", F.expr("greatest(0, int(prefix - (all - size(found))))")).where("keep > 0").select("pivot", "node", "mark", "linked", F.explode(F.expr("slice(found, 1, keep)")).alias("x"))
-    front = work.save(front.select("pivot", "node", "mark", "linked", F.col("x.e").alias("e")), "front")
-    v = front.where("linked").alias("v")
-    u = shared.where("not linked").select("pivot", "node", "mark", "e").alias("u")
-    w, z = (front.where("not linked").alias(name) for name in ("w", "z"))
-    with_linked = v.join(u, F.expr("v.pivot = u.pivot and v.e = u.e and v.mark <> u.mark")).select(F.least("v.node", "u.node").alias("a"), F.greatest("v.node", "u.node").alias("b"))
-    unlinked = w.join(z, F.expr("w.pivot = z.pivot and w.e = z.e and w.mark <> z.mark and w.node < z.node")).select(F.col("w.node").alias("a"), F.col("z.node").alias("b"))
-    return with_linked.union(unlinked).distinct()
-
-
-def _shared_counts(members: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
-    """node and shared: how many of its shingles a node of another component in `members` holds."""
-    nodes = work.save(members.select("node", "mark").distinct(), "large-nodes")
-    each = work.save(nodes.join(sets, "node").select("node", "mark", F.explode("shingles").alias("sh")), "large-shingles")
-    common = work.save(each.groupBy("sh").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1")).where("m0 <> m1").select("sh"), "common")
-    counts = work.save(each.join(common, "sh").groupBy("node").agg(F.count("*").alias("shared")), "counts")
-    work.drop(each)
-    return counts
+    each = _marked(diffs.select("pivot", "node", "diff"), labels).select("pivot", "node", "mark", F.explode("diff").alias("e"))
+    common = each.groupBy("pivot", "e").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1"), F.count("*").alias("c")).where("m0 <> m1").select("pivot", "e", "c")
+    common = work.save(common, "common")
+    held = each.join(common, ["pivot", "e"]).groupBy("pivot", "node").agg(F.first("mark").alias("mark"), F.sort_array(F.collect_list(F.struct("c", "e"))).alias("shared"))
+    both = diffs.join(held, ["pivot", "node"])
+    both = both.withColumn("a", F.expr(f"{100 + percent} * size(diff) - {100 - percent} * n")).withColumn("t", F.expr(f"{2 * (100 + percent)} * size(shared) - a"))
+    rows = work.save(both, "shared-diffs")
+
+    def may_meet(asking: DataFrame, others: DataFrame) -> DataFrame:
+        span = others.groupBy("pivot").agg(F.min("a").alias("a0"), F.greatest(F.lit(1), (F.max("a") - F.min("a")) / BINS).alias("step"))
+        span, _ = small_enough(work.save(span, "spans"))
+        steps = others.join(span, "pivot").groupBy("pivot", "a0", "step", F.floor((F.col("a") - F.col("a0")) / F.col("step")).alias("bin")).agg(F.max("t").alias("most"))
+        steps = work.save(steps.groupBy("pivot", "a0", "step").agg(F.collect_list(F.struct("bin", "most")).alias("steps")), "steps")
+        steps, _ = small_enough(steps, STEP_ROWS)
+        return asking.join(steps, "pivot").where("exists(steps, s -> s.bin <= floor((t - a0) / step) and s.most >= a)").drop("a0", "step", "steps")
+
+    apart = work.save(may_meet(rows.where("not linked"), rows), "apart")
+    near = may_meet(rows.where("linked"), apart)
+    return work.save(apart.unionByName(near), "partnered")
+
+
+def _with_parity(rows: DataFrame) -> DataFrame:
+    """rows with own (elements of diff that no other component has) and PARITY bit sets of the parity of shared by bit.
+
+    Every element that only one of two nodes shares flips one bit, so they differ in at
+    least as many elements as bits, besides their own.
+    """
+    bits = (
+        F.expr(f"aggregate(shared, 0L, (x, s) -> if(pmod(s.e, {PARITY}) = {i}, x ^ shiftleft(1L, int(pmod(s.e div {PARITY}, 64))), x))").alias(f"p{i}") for i in range(PARITY)
+    )
+    return rows.select("*", F.expr("size(diff) - size(shared)").alias("own"), *bits)
+
+
+def _across_large(members: DataFrame, sets: DataFrame, labels: DataFrame, edges: DataFrame, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(verified pairs, pairs to verify) across components among members(pivot, pivot_n, node, n) of large groups.
+
+    Nodes that cannot have a link by _partnered() go. Those that are not linked with the
+    pivot then meet in buckets by minhashes of what they share, each against one node of
+    the bucket, which joins families other than the pivot's. With the components of that,
+    _partnered() looks again, twice, as with each node that goes others share less; the
+    remaining ones are looked up by the rarest of what they share, and tested by parity. For u not linked with the
+    pivot and v any node, linked u and v have more than half of diff v in common (less a
+    term for the sizes), so that by the usual prefix argument a few of its elements will do.
+    """
+    diffs = work.save(_differences(members, sets, percent, work), "differences")
+    left = _partnered(diffs, labels, percent, work)
+    fits = f"least({{0}}, {{1}}) * 100 >= greatest({{0}}, {{1}}) * {percent}"
+    bits = " + ".join(f"bit_count({{0}}.p{i} ^ {{1}}.p{i})" for i in range(PARITY))
+    few = f"{100 + percent} * ({{0}}.own + {{1}}.own + {bits}) <= {100 - percent} * ({{0}}.n + {{1}}.n)"
+    meet = "{0}.a <= {1}.t and {1}.a <= {0}.t and {0}.mark <> {1}.mark and " + fits.format("{0}.n", "{1}.n") + " and " + few
+    narrow = ["node", "n", "mark", "a", "t", "own", *(f"p{i}" for i in range(PARITY))]
+    least = F.array(*(F.struct(F.lit(i).alias("i"), F.expr(f"array_min(transform(shared, s -> xxhash64(s.e, {i})))").alias("h")) for i in range(4)))
+    met = work.save(_with_parity(left.where("not linked")).select("pivot", *narrow, F.size("shared").alias("held"), F.explode(least).alias("key")), "met")
+    hubs = met.groupBy("pivot", "key").agg(F.max(F.struct("held", *narrow)).alias("hub")).select("pivot", "key", "hub.*")
+    hubs, _ = small_enough(work.save(hubs, "hubs"))
+    again = met.alias("v").join(hubs.alias("u"), F.expr("v.pivot = u.pivot and v.key = u.key and v.node <> u.node and " + meet.format("u", "v")))
+    again = work.save(again.select(F.col("u.node").alias("a"), F.col("v.node").alias("b")).distinct(), "again")
+    found = work.save(_verify(again, sets, percent, work), "found")
+    if not found.isEmpty():
+        labels = components(edges.union(found), work)
+    for _ in range(2):
+        left = _partnered(left.select("pivot", "pivot_n", "node", "n", "linked", "diff"), labels, percent, work)
+    need = f"int(({100 + percent} * size(diff) + {100 - percent} * (pivot_n - n)) div {2 * (100 + percent)}) + 1"
+    left = work.save(_with_parity(left), "left")
+    front = left.withColumn("front", F.expr(f"slice(shared, 1, greatest(0, size(shared) - greatest(1, {need}) + 1))"))
+    v, w = (work.save(front.where(test).select("pivot", *narrow, F.explode("front.e").alias("e")), "front") for test in ("linked", "not linked"))
+    u = left.where("not linked").select("pivot", *narrow, F.explode("shared.e").alias("e"))
+    one = v.alias("v").join(u.alias("u"), F.expr("v.pivot = u.pivot and v.e = u.e and " + meet.format("u", "v"))).select(F.least("v.node", "u.node").alias("a"), F.greatest("v.node", "u.node").alias("b"))
+    two = w.alias("v").join(w.alias("u"), F.expr("v.pivot = u.pivot and v.e = u.e and v.node < u.node and " + meet.format("u", "v"))).select(F.col("v.node").alias("a"), F.col("u.node").alias("b"))
+    done = again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return found, one.union(two).distinct().join(done, ["a", "b"], "left_anti")
+
+
+def _with_components(docs: DataFrame, work: Workspace, *options: int) -> tuple[DataFrame, DataFrame]:
+    """(sketches, node and label of every node): nodes of one component have one label."""
+    base, labels = links(docs, work, *options)
+    nodes = base.where("node is not null").select("node").distinct().join(labels, "node", "left")
+    return base, work.save(nodes.select("node", F.coalesce("label", "node").alias("label")), "labelled")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     work = Workspace(docs.sparkSession, "minhash")
-    base, labels = links(docs, work, shingle, percent, rows)
-    first = work.save(base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")), "first")
-    label = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    label = work.save(label, "labelled")
+    base, label = _with_components(docs, work, shingle, percent, rows)
+    first = base.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
+    label = work.save(first.join(label, "node"), "first")
     least = work.save(label.groupBy("label").agg(F.min("first").alias("component_id")), "components")
     nodes = work.save(label.join(least, "label").select("node", "component_id"), "by-node")
     out = base.select("doc_id", "n_shingles", "node").join(nodes, "node", "left")
@@ -348,13 +390,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs without the documents that a smaller doc_id of their component stands for."""
-    found = Workspace(docs.sparkSession, "kept").save(near_duplicates(docs, **options), "result")
-    gone, _ = small_enough(found.where("not kept").select(F.col("doc_id").alias("_id")).distinct())
-    left = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return left if again.isEmpty() else left.dropDuplicates(["doc_id"])
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
+    """docs without the rows that another row of their component stands for."""
+    work = Workspace(docs.sparkSession, "kept")
+    base, label = _with_components(docs, work, shingle, percent, rows)
+    rows = base.where("node is not null").groupBy("node", "doc_id", "digest").agg(F.count("*").alias("times"))
+    rows = work.save(rows.join(label, "node").select("label", "doc_id", "digest", "times"), "rows")
+    best = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id"), F.col("digest"))).alias("best"))
+    best = work.save(best.select("label", F.col("best.doc_id").alias("best_id"), F.col("best.digest").alias("best_digest")), "best")
+    same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("digest") == F.col("best_digest"))
+    told = rows.join(best, "label").where(~same | (F.col("times") > 1))
+    key, print_, repeated = free_names(docs, "key", "digest", "repeated")
+    told = work.save(told.select(F.col("doc_id").alias(key), F.col("digest").alias(print_), same.alias(repeated)), "told")
+    told, _ = small_enough(told)
+    row = F.col("doc_id").eqNullSafe(F.col(key)) & (_text_digest() == F.col(print_))
+    left = docs.join(told, row, "left").where(F.col(repeated).isNull() | F.col(repeated))
+    if told.where(F.col(repeated)).isEmpty():
+        return left.select(*map(_quoted, docs.columns))
+    once = left.where(F.col(repeated)).dropDuplicates([key, print_])
+    return left.where(F.col(repeated).isNull()).unionByName(once).select(*map(_quoted, docs.columns))
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 #: All pairs by their common shingles, and their transitive closure (three words, 85 percent).
