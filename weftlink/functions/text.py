@@ -81,6 +81,15 @@ def _compose_udf(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else fold(t, romanize=False))
 
 
+def bound(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with these columns, each computed once.
+
+    A generator of one row: projections are not merged across it, so what reads a column
+    does not repeat its expression.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
 def is_foreign(text: Column) -> Column:
     return text.rlike(NON_ASCII)
 
@@ -138,25 +147,22 @@ def collapse_domains(text: Column) -> Column:
 def with_names(df: DataFrame, name: str = "business_name") -> DataFrame:
     """df with name_norm, name_core, name_alt, legal_forms, is_domain, translit, first_token and metaphone_key."""
     raw = F.coalesce(F.col(name), F.lit(""))
-    out = df.withColumn("translit", is_foreign(raw)).withColumn("_n", F.replace(folded(raw), F.lit("&"), F.lit(" and ")))
-    out = out.withColumn("is_domain", F.col("_n").rlike(_DOMAIN_TEST)).withColumn("_n", collapse_domains(F.col("_n")))
-    head, tail = first_cut(F.col("_n"), TRADE_NAME)
-    out = out.withColumn("_alt", F.coalesce(tail, F.lit(""))).withColumn("_n", squeeze(strip_junk(head)))
-    words = mapped(F.filter(tokens(F.col("_n")), lambda t: ~_within(lx.HONORIFICS)(t)), lx.LEGAL_FORMS)
-    out = out.withColumn("_w", words).withColumn("_w", run_lengths(F.col("_w")))
-    legal = F.filter("_w", _within(lx.LEGAL_CODES))
-    out = out.withColumn("_core", F.filter("_w", lambda t: ~_within(lx.LEGAL_CODES)(t)))
+    out = df.withColumn("_f", folded(raw))
+    out = bound(out, translit=is_foreign(raw), _n=F.replace("_f", F.lit("&"), F.lit(" and ")))
+    out = bound(out, is_domain=F.col("_n").rlike(_DOMAIN_TEST), _d=collapse_domains(F.col("_n")))
+    head, tail = first_cut(F.col("_d"), TRADE_NAME)
+    out = bound(out, _head=head, _alt=F.coalesce(tail, F.lit("")))
+    out = bound(out, _t=mapped(F.filter(tokens(squeeze(strip_junk(F.col("_head")))), lambda t: ~_within(lx.HONORIFICS)(t)), lx.LEGAL_FORMS), _fa=squeeze(strip_junk(F.col("_alt"))))
+    out = bound(out, _w=run_lengths(F.col("_t")))
+    out = bound(out, _core=F.filter("_w", lambda t: ~_within(lx.LEGAL_CODES)(t)), name_norm=F.array_join("_w", " "))
     core = F.array_join("_core", " ")
-    whole = F.array_join("_w", " ")
-    return (
-        out.withColumn("legal_forms", F.array_sort(F.array_distinct(legal)))
-        .withColumn("name_norm", whole)
-        .withColumn("name_core", F.when(core == "", whole).otherwise(core))
-        .withColumn("first_token", F.coalesce(F.try_element_at("_core", F.lit(1)), F.try_element_at("_w", F.lit(1)), F.lit("")))
-        .withColumn("name_alt", squeeze(strip_junk(folded(F.col("_alt")))))
-        .withColumn("metaphone_key", metaphone_udf("first_token"))
-        .drop("_n", "_alt", "_w", "_core")
+    out = bound(
+        out,
+        legal_forms=F.array_sort(F.array_distinct(F.filter("_w", _within(lx.LEGAL_CODES)))),
+        name_core=F.when(core == "", F.col("name_norm")).otherwise(core),
+        first_token=F.coalesce(F.try_element_at("_core", F.lit(1)), F.try_element_at("_w", F.lit(1)), F.lit("")),
     )
+    return out.withColumn("name_alt", F.col("_fa")).withColumn("metaphone_key", metaphone_udf("first_token")).drop("_f", "_n", "_d", "_head", "_alt", "_t", "_fa", "_w", "_core")
 
 
 def postal_code(text: Column, country: Column) -> Column:
@@ -192,24 +198,30 @@ def address_tokens(text: Column, country: Column) -> Column:
 def with_addresses(df: DataFrame, address: str = "business_address", country: str = "country") -> DataFrame:
     """df with addr_norm, addr_core, pincode, house_number, numeric_tokens, state_code, city and landmark."""
     raw, where = F.coalesce(F.col(address), F.lit("")), F.col(country)
-    out = df.withColumn("pincode", postal_code(raw, where)).withColumn("_a", F.regexp_replace(folded(raw), r"(?i)\b(?:city|town|village)\s+of\s+", ""))
-    found, post = F.col("_a").rlike(LANDMARK), F.col("_a").rlike(POSTPOSED)
-    out = out.withColumn("landmark", F.lower(F.trim(F.when(found, F.regexp_extract("_a", LANDMARK, 1)).when(post, F.regexp_extract("_a", POSTPOSED, 1)).otherwise(""))))
+    out = df.withColumn("_f", folded(raw))
+    out = bound(out, _a=F.regexp_replace("_f", r"(?i)\b(?:city|town|village)\s+of\s+", ""))
+    out = bound(out, _found=F.col("_a").rlike(LANDMARK), _post=F.col("_a").rlike(POSTPOSED))
+    found, post = F.col("_found"), F.col("_post")
     front, back = first_cut(F.col("_a"), LANDMARK)
     front2, back2 = first_cut(F.col("_a"), POSTPOSED)
-    out = out.withColumn("_a", F.when(found, F.concat_ws(" ", front, back)).when(post, F.concat_ws(" ", front2, back2)).otherwise(F.col("_a")))
-    out = out.withColumn("state_code", state_code(F.lower("_a"), where)).withColumn("_t", address_tokens(squeeze(F.col("_a")), where))
-    out = out.withColumn("_t", F.when(F.trim(raw) == "", F.array().cast("array<string>")).otherwise(F.col("_t")))
-    digits = F.filter("_t", lambda t: t.rlike("^[0-9]+$"))
+    out = bound(
+        out,
+        landmark=F.lower(F.trim(F.when(found, F.regexp_extract("_a", LANDMARK, 1)).when(post, F.regexp_extract("_a", POSTPOSED, 1)).otherwise(""))),
+        _rest=F.when(found, F.concat_ws(" ", front, back)).when(post, F.concat_ws(" ", front2, back2)).otherwise(F.col("_a")),
+    )
+    words = F.when(F.trim(raw) == "", F.array().cast("array<string>")).otherwise(address_tokens(squeeze(F.col("_rest")), where))
+    out = bound(out, pincode=postal_code(raw, where), _low=F.lower("_rest"), _t=words)
+    out = bound(out, state_code=state_code(F.col("_low"), where), _digits=F.filter("_t", lambda t: t.rlike("^[0-9]+$")))
     cities = F.array(*map(F.lit, lx.CITIES.values()))
-    return (
-        out.withColumn("addr_norm", F.array_join("_t", " "))
-        .withColumn("addr_core", F.array_join(F.filter("_t", lambda t: ~t.rlike("^[0-9]+$")), " "))
-        .withColumn("numeric_tokens", F.array_sort(F.array_distinct(digits)))
-        .withColumn("house_number", F.coalesce(F.get(digits, F.lit(0)), F.lit("")))
-        .withColumn("city", F.coalesce(F.get(F.filter(cities, lambda c: F.array_contains("_t", c)), F.lit(0)), F.lit("")))
-        .drop("_a", "_t")
+    out = bound(
+        out,
+        addr_norm=F.array_join("_t", " "),
+        addr_core=F.array_join(F.filter("_t", lambda t: ~t.rlike("^[0-9]+$")), " "),
+        numeric_tokens=F.array_sort(F.array_distinct("_digits")),
+        house_number=F.coalesce(F.get("_digits", F.lit(0)), F.lit("")),
+        city=F.coalesce(F.get(F.filter(cities, lambda c: F.array_contains("_t", c)), F.lit(0)), F.lit("")),
     )
+    return out.drop("_f", "_a", "_found", "_post", "_rest", "_low", "_t", "_digits")
 
 
 def _native(text: Column, others: str = r"[^\p{L}\p{N}\p{M}_\s]") -> Column:
@@ -218,15 +230,13 @@ def _native(text: Column, others: str = r"[^\p{L}\p{N}\p{M}_\s]") -> Column:
 
 def normalize(df: DataFrame) -> DataFrame:
     """All normalized columns of records(entity_id, business_name, business_address, country)."""
-    # The sound key comes last of the costly columns: nothing is inlined across its Python function,
-    # so what follows reads them instead of computing them again.
     name, address = F.coalesce("business_name", F.lit("")), F.coalesce("business_address", F.lit(""))
-    out = df.withColumn("_cn", composed(name)).withColumn("_ca", composed(address))
-    out = out.withColumn("_cn", collapse_domains(F.replace("_cn", F.lit("&"), F.lit(" and "))))
-    head, _ = first_cut(F.col("_cn"), TRADE_NAME)
-    out = out.withColumn("native_name", _native(strip_junk(head)))
-    out = out.withColumn("native_addr", _native(F.regexp_replace("_ca", r"(?i)\b(?:city|town|village)\s+of\s+", ""))).drop("_cn", "_ca")
-    out = with_names(with_addresses(out))
+    out = parallel(df).withColumn("_cn", composed(name)).withColumn("_ca", composed(address))
+    out = bound(out, _cd=collapse_domains(F.replace("_cn", F.lit("&"), F.lit(" and "))))
+    head, _ = first_cut(F.col("_cd"), TRADE_NAME)
+    out = bound(out, _ch=head)
+    out = bound(out, native_name=_native(strip_junk(F.col("_ch"))), native_addr=_native(F.regexp_replace("_ca", r"(?i)\b(?:city|town|village)\s+of\s+", "")))
+    out = with_names(with_addresses(out.drop("_cn", "_ca", "_cd", "_ch")))
     half = lambda native, plain: F.when(F.col(native) != "", F.col(native)).otherwise(F.col(plain))
     return (
         out.withColumn("embed_text", F.trim(F.concat("name_core", F.lit(" | "), "addr_core")))
@@ -234,3 +244,14 @@ def normalize(df: DataFrame) -> DataFrame:
         .withColumn("sn_key_a", F.col("name_core"))
         .withColumn("sn_key_b", F.array_join(F.array_sort(F.split("name_core", " ")), " "))
     )
+
+
+def parallel(df: DataFrame) -> DataFrame:
+    """df, dealt over all cores if it is too small to be read in that many parts: a record costs far more than its shuffle."""
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    part = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * part else df
