@@ -62,7 +62,7 @@ def _brute_probability(word, prob, pieces, column):
     part = "▁" + word
     ways = [1.0] + [0.0] * len(part)
     for j in range(1, len(part) + 1):
-        for i in range(max(0, j - langid.MAX_PIECE), j):
+        for i in range(j):
             piece = pieces.get(part[i:j], 1 if j - i == 1 else 0)
             ways[j] += ways[i] * prob[piece, column]
     return ways[-1]

@@ -18,16 +18,17 @@ import re
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import append_columns, chunks, small_enough, worker_state
+from weftlink.llm.common import Workspace, append_columns, chunks, small_enough, worker_state
 
 LONG_WORD = 32
-MAX_PIECE = 10
 #: Bounds of the training sample: documents per language and distinct words per language.
 SAMPLE_DOCS = 1500
-SAMPLE_WORDS = 20_000
+SAMPLE_WORDS = 30_000
+#: Ranges of the documents' hash that are counted by language to find the sample.
+HASH_RANGES = 1 << 16
 #: Words whose scores one worker keeps; it starts anew beyond.
 CACHE_WORDS = 200_000
 #: Words after which a longer text gives no more certainty.
@@ -51,22 +52,27 @@ def load_pieces(path: str) -> dict[str, int]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    usable = [p for p in every if len(p) <= MAX_PIECE and p == p.lower() and p.replace(_BEGIN, "", 1).isalpha() or p == _BEGIN]
+    usable = [p for p in every if p == p.lower() and p.replace(_BEGIN, "", 1).isalpha() or p == _BEGIN]
     return {p: i for i, p in enumerate(usable, 2)}
 
 
+@lru_cache(maxsize=2)
+def longest_piece(path: str) -> int:
+    return max(map(len, load_pieces(path)))
+
+
 def stretches(word: str) -> list[str]:
     marked = _BEGIN + word
     return [marked[i : i + LONG_WORD] for i in range(0, len(marked), LONG_WORD)]
 
 
-def lattice(parts: list[str], pieces: dict[str, int]) -> tuple[list[tuple[int, int]], np.ndarray]:
+def lattice(parts: list[str], pieces: dict[str, int], longest: int) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Arcs of the segmentation lattice of parts of one length, and each part's piece on each arc.
 
     Piece 0 is impossible; piece 1 is a character outside the vocabulary.
     """
     n = len(parts[0])
-    arcs = [(i, j) for i in range(n) for j in range(i + 1, min(i + MAX_PIECE, n) + 1)]
+    arcs = [(i, j) for i in range(n) for j in range(i + 1, min(i + longest, n) + 1)]
     get = pieces.get
     flat = [get(p[i:j], 1 if j - i == 1 else 0) for p in parts for i, j in arcs]
     return arcs, np.array(flat, dtype=np.int32).reshape(len(parts), len(arcs))
@@ -94,7 +100,7 @@ class LanguageModel:
     @classmethod
     def train(cls, counts: dict[str, dict[str, int]], vocabulary: str, rounds: int = 4, smoothing: float = 0.02) -> LanguageModel:
         """Learn from each language's word counts."""
-        pieces, languages = load_pieces(vocabulary), sorted(counts)
+        pieces, longest, languages = load_pieces(vocabulary), longest_piece(vocabulary), sorted(counts)
         prob = np.zeros((len(pieces) + 2, len(languages)))
         for c, language in enumerate(languages):
             own = np.full((len(pieces) + 2, 1), 1.0 / len(pieces))
@@ -104,7 +110,7 @@ class LanguageModel:
                     names, weights = by_length.setdefault(len(part), ([], []))
                     names.append(part)
                     weights.append(n)
-            grids = [(*lattice(names, pieces), np.array(weights, float)) for names, weights in by_length.values()]
+            grids = [(*lattice(names, pieces, longest), np.array(weights, float)) for names, weights in by_length.values()]
             for _ in range(rounds):
                 own[0], own[1] = 0, UNKNOWN
                 seen = np.zeros(len(own))
@@ -126,7 +132,7 @@ class LanguageModel:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of every word in every language."""
-        pieces = load_pieces(self.vocabulary)
+        pieces, longest = load_pieces(self.vocabulary), longest_piece(self.vocabulary)
         by_length: dict[int, tuple[list[str], list[int]]] = {}
         for k, word in enumerate(words):
             for part in stretches(word):
@@ -135,7 +141,7 @@ class LanguageModel:
                 owners.append(k)
         out = np.zeros((len(words), len(self.languages)))
         for names, owners in by_length.values():
-            arcs, ids = lattice(names, pieces)
+            arcs, ids = lattice(names, pieces, longest)
             np.add.at(out, owners, np.log(forward(arcs, ids, self.prob)[-1]))
         return out
 
@@ -187,26 +193,35 @@ def _scorer(model: LanguageModel) -> Scorer:
     return worker_state(("langid", model.key), lambda: Scorer(model))
 
 
+def _needed(counts: DataFrame, order: Column, wanted: int) -> DataFrame:
+    """The rows of counts(lang, ..., _c) in this order until _c adds up to `wanted` for the language, without _c."""
+    before = Window.partitionBy("lang").orderBy(order)
+    found, _ = small_enough(counts.withColumn("_before", F.sum("_c").over(before) - F.col("_c")).where(F.col("_before") < wanted).drop("_c", "_before"))
+    return found
+
+
 def train(docs: DataFrame, learn: str = "true", vocabulary: str | None = None) -> LanguageModel:
     """Learn from rows of docs(doc_id, text, lang) for which `learn` holds and lang is not null.
 
     The sample is bounded: SAMPLE_DOCS documents of each language, by hash of doc_id, and of
-    their whole texts the SAMPLE_WORDS most frequent words.
+    their whole texts the most frequent words, until there are SAMPLE_WORDS (words of equal
+    count stay together). Both bounds are found from counts by range, so no task sorts a
+    language: only the ranges that are needed are ranked.
     """
-    spark = docs.sparkSession
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        docs.where(F.expr(learn) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", "lang").withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_DOCS)
-        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct()
-    )
-    chosen, _ = small_enough(chosen)
+    marked = docs.where(F.expr(learn) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
+    marked = marked.withColumn("_range", F.expr(f"pmod(_h, {HASH_RANGES})"))
+    ranges = _needed(marked.groupBy("lang", "_range").agg(F.count("*").alias("_c")), F.col("_range"), SAMPLE_DOCS)
+    order = Window.partitionBy("lang").orderBy("_range", "_h", "doc_id")
+    chosen = marked.join(ranges, ["lang", "_range"]).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_DOCS)
+    chosen, _ = small_enough(chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")).distinct())
     words = (
         docs.join(chosen, (docs["doc_id"] == F.col("_id")) & (docs["lang"] == F.col("_lang")))
         .select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("word"))
         .groupBy("lang", "word").count()
     )
-    ranked = words.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("_n") <= SAMPLE_WORDS)
+    words = Workspace(docs.sparkSession, "langid").save(words, "words")
+    frequent = _needed(words.groupBy("lang", "count").agg(F.count("*").alias("_c")), F.desc("count"), SAMPLE_WORDS)
+    ranked = words.join(frequent, ["lang", "count"])
     counts: dict[str, dict[str, int]] = {}
     for row in ranked.select("lang", "word", "count").toLocalIterator():
         counts.setdefault(row[0], {})[row[1]] = row[2]

@@ -2,9 +2,9 @@
 
 Every source's documents, in a fixed order, are one stream of words, packed into blocks of
 BLOCK words. Each source's target in words becomes a number of slots. Output shards of
-SHARD_SLOTS slots draw how many slots each source gets: multinomial draws under the whole
-mix's totals, made down a binary tree of shards so that each shard finds its own draw alone
-and again. A source's k-th slot is pass k // blocks over the source and goes through that
+SHARD_SLOTS slots draw how many slots each source gets: multinomial draws given the whole
+mix's totals, which makes them multivariate hypergeometric, drawn down a binary tree of
+shards so that each shard finds its own draw alone and again. A source's k-th slot is pass k // blocks over the source and goes through that
 pass's own pseudorandom permutation of block indices (a Feistel network with cycle
 walking), so no block comes a third time before all came twice. The slot that reaches the
 target is cut to the words still wanted. Blocks and documents then meet by block index.
@@ -20,12 +20,13 @@ stream and may take differently many words. Other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import WORD, Workspace, small_enough, tidy
+from weftlink.llm.common import WORD, Workspace, free_names, small_enough, tidy
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -128,54 +129,73 @@ class SourcePlan:
         return block, words
 
 
-def _draw(rng: np.random.Generator, counts: np.ndarray, take: int) -> np.ndarray:
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, take: int) -> int:
+    """How many of `take` drawn without putting back are good. Both ways are exact: the library's below its limit of
+    10^9, above it inversion of the distribution within 12 deviations of its mode (beyond lies less than 1e-30)."""
+    if good + bad < 10**9:
+        return int(rng.hypergeometric(good, bad, take))
+    low, high = max(0, take - bad), min(good, take)
+    mode = min(max((take + 1) * (good + 1) // (good + bad + 2), low), high)
+    share = good / (good + bad)
+    reach = int(12 * (take * share * (1 - share) * (good + bad - take) / (good + bad)) ** 0.5) + 50
+    up, down = np.arange(mode, min(high, mode + reach), dtype=float), np.arange(mode, max(low, mode - reach), -1, dtype=float)
+    above = np.cumsum(np.log((good - up) * (take - up)) - np.log((up + 1) * (bad - take + up + 1)))
+    below = np.cumsum(np.log(down * (bad - take + down)) - np.log((good - down + 1) * (take - down + 1)))
+    odds = np.exp(np.concatenate([below[::-1], [0.0], above]))
+    at = int(np.searchsorted(np.cumsum(odds), rng.random() * odds.sum(), "right"))
+    return mode - len(below) + min(at, len(odds) - 1)
+
+
+def _draw(rng: np.random.Generator, counts: tuple[int, ...], take: int) -> tuple[int, ...]:
     """How many of each kind are among `take` drawn from counts without putting back."""
-    out, left = np.zeros_like(counts), int(counts.sum())
-    for i, n in enumerate(counts.tolist()):
+    out, left = [], sum(counts)
+    for n in counts:
         rest = left - n
-        if take and n:
-            if left < 10**9:
-                out[i] = rng.hypergeometric(n, rest, take)
-            else:
-                share = n / left
-                spread = (take * share * (1 - share) * (left - take) / left) ** 0.5
-                out[i] = min(max(round(rng.normal(take * share, spread)), take - rest, 0), n, take)
-        take, left = take - int(out[i]), rest
-    return out
+        out.append(n if not rest else _hypergeometric(rng, n, rest, take) if take and n else 0)
+        if not rest:
+            out[-1] = take
+        take, left = take - out[-1], rest
+    return tuple(out)
+
+
+@lru_cache(maxsize=4096)
+def _left_half(low: int, high: int, counts: tuple[int, ...], per_shard: int, seed: int) -> tuple[int, ...]:
+    """What the left half of the shards low..high draws of their counts."""
+    return _draw(np.random.default_rng([seed, low, high]), counts, ((low + high) // 2 - low) * per_shard)
 
 
 def shard_draw(shard: int, shards: int, slots: np.ndarray, per_shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """First slot of each source in a shard, and how many the shard has."""
-    low, high, first, counts = 0, shards, np.zeros_like(slots), slots.copy()
+    low, high, first, counts = 0, shards, [0] * len(slots), tuple(int(n) for n in slots)
     while high - low > 1:
-        middle = (low + high) // 2
-        left = _draw(np.random.default_rng([seed, low, high]), counts, (middle - low) * per_shard)
+        middle, left = (low + high) // 2, _left_half(low, high, counts, per_shard, seed)
         if shard < middle:
             high, counts = middle, left
         else:
-            low, first, counts = middle, first + left, counts - left
-    return first, counts
+            low, first, counts = middle, [a + b for a, b in zip(first, left, strict=True)], tuple(a - b for a, b in zip(counts, left, strict=True))
+    return np.array(first, np.int64), np.array(counts, np.int64)
 
 
 @dataclass
 class Mix:
-    """A planned mix: sources, slots (shard, slot, sid, block, words) and spans of documents in blocks."""
+    """A planned mix: sources, slots (shard, slot, sid, block, words), rows, and spans of documents in blocks."""
 
     sources: DataFrame
     slots: DataFrame
     rows: DataFrame
     spans: DataFrame
 
-    def taken(self) -> DataFrame:
-        """Every document with the words that the mix takes of it."""
+    def taken(self, *further: str) -> DataFrame:
+        """Every document with the words that the mix takes of it (and its digest, if `further` names that)."""
         drawn = self.slots.groupBy("sid", "block", "words").agg(F.count("*").alias("times"))
         met = self.spans.join(drawn, ["sid", "block"]).withColumn("hit", F.greatest(F.lit(0), F.least("stop", "words") - F.col("start")) * F.col("times"))
         sums = met.groupBy("sid", "place").agg(F.sum("hit").alias("hit"))
         full = self.rows.where("size > 0").join(sums, ["sid", "place"], "left").withColumn("taken", F.coalesce("hit", F.lit(0)))
         none = self.rows.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
         own, _ = small_enough(self.sources)
-        both = full.select("doc_id", "sid", "size", "taken").union(none.select("doc_id", "sid", "size", "taken"))
-        return both.join(own, "sid").select("doc_id", "source", "size", "source_size", "target", "taken")
+        own_columns = ["doc_id", "sid", "size", "taken", *further]
+        both = full.select(*own_columns).union(none.select(*own_columns))
+        return both.join(own, "sid").select("doc_id", "source", "size", "source_size", "target", "taken", *further)
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """The mix itself: shard, slot, source and text of every slot, with the doc_ids it is made of."""
@@ -193,7 +213,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     """Plan the mix of docs(doc_id, source, text)."""
     spark = docs.sparkSession
     work = Workspace(spark, "mixing")
-    sized = work.save(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sized")
+    sized = work.save(docs.select("doc_id", "source", _digest().alias("digest"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sized")
     totals = sorted(sized.groupBy("source").agg(F.sum("size")).collect(), key=lambda r: (r[0] is None, r[0] or ""))
     goal = targets([r[1] for r in totals], weights, cap)
     plans = [SourcePlan(i, r[1], min(round(t), cap * r[1]), seed, block) for i, (r, t) in enumerate(zip(totals, goal, strict=True))]
@@ -202,13 +222,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     # Where each document lies in its source's stream: first within a chunk, then the chunks in turn.
     chunks = max(1, sized.count() // CHUNK_ROWS)
     own, _ = small_enough(sources.select("sid", F.col("source").alias("_s")))
-    laid = sized.join(own, F.col("source").eqNullSafe(F.col("_s"))).select("doc_id", "sid", "size", F.pmod(F.xxhash64("doc_id", "size"), F.lit(chunks)).alias("chunk"))
-    line = Window.partitionBy("sid", "chunk").orderBy("doc_id", "size")
+    laid = sized.join(own, F.col("source").eqNullSafe(F.col("_s"))).select("doc_id", "sid", "size", "digest", F.pmod(F.xxhash64("doc_id", "digest"), F.lit(chunks)).alias("chunk"))
+    line = Window.partitionBy("sid", "chunk").orderBy("doc_id", "digest")
     laid = work.save(laid.withColumn("inner", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")), "laid")
     before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = laid.groupBy("sid", "chunk").agg(F.sum("size").alias("all")).withColumn("offset", F.sum("all").over(before) - F.col("all")).select("sid", "chunk", "offset")
     offsets, _ = small_enough(work.save(offsets, "offsets"))
-    placed = work.save(laid.join(offsets, ["sid", "chunk"]).select("doc_id", "sid", "size", (F.col("offset") + F.col("inner")).alias("place")), "placed")
+    placed = work.save(laid.join(offsets, ["sid", "chunk"]).select("doc_id", "sid", "size", "digest", (F.col("offset") + F.col("inner")).alias("place")), "placed")
     spans = (
         placed.where("size > 0")
         .withColumn("block", F.explode(F.expr(f"sequence(place div {block}, (place + size - 1) div {block})")))
@@ -240,14 +260,25 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, blo
     return Mix(sources, filled, placed, spans)
 
 
-def resample(docs: DataFrame, **options) -> DataFrame:
+def _digest() -> Column:
+    return F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+
+
+def resample(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, block: int = BLOCK, per_shard: int = SHARD_SLOTS, seed: int = 11) -> DataFrame:
     """docs repeated or left out so that each source's words come near its target.
 
-    A document comes taken / size times; a fraction is settled by a hash of its doc_id.
+    A document comes taken / size times; a fraction is settled by a hash of its doc_id and
+    text. Rows are told apart by doc_id, source and text, so null or shared doc_ids each
+    have their own count; rows alike in all three share the mean of theirs. Texts without a
+    word bring none to the mix and go. All columns come through.
     """
-    share = mix(docs, **options).taken().where("size > 0 and doc_id is not null")
-    times = F.expr("int(floor(taken / size + pmod(xxhash64(doc_id, 7), 1000003) / 1000003D))")
-    copies = Workspace(docs.sparkSession, "copies").save(share.groupBy(F.col("doc_id").alias("_id")).agg(F.max(times).alias("_times")).where("_times > 0"), "copies")
-    copies, _ = small_enough(copies)
-    met = docs.join(copies, F.col("doc_id") == F.col("_id"))
-    return met.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)
+    share = mix(docs, weights, cap, block, per_shard, seed).taken("digest").where("size > 0")
+    identity, origin, digest, ratio, copy = free_names(docs, "id", "origin", "digest", "ratio", "copy")
+    share = share.groupBy("doc_id", "source", "digest").agg((F.sum("taken") / F.sum("size")).alias("ratio")).where("ratio > 0")
+    share = share.select(F.col("doc_id").alias(identity), F.col("source").alias(origin), F.col("digest").alias(digest), F.col("ratio").alias(ratio))
+    share, _ = small_enough(Workspace(docs.sparkSession, "shares").save(share, "shares"))
+    row = F.col("doc_id").eqNullSafe(F.col(identity)) & F.col("source").eqNullSafe(F.col(origin)) & (_digest() == F.col(digest))
+    part = F.pmod(F.xxhash64("doc_id", digest), F.lit(1000003)) / 1000003
+    times = F.floor(F.col(ratio) + part).cast("int")
+    met = docs.join(share, row).where(times > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
+    return met.select(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns))
