@@ -31,7 +31,16 @@ def test_command_line_round_trip(spark, folder, tmp_path, capsys):
     assert cli.main(["score", "--data", data, *files], spark) == 0
     said = capsys.readouterr().out
     assert "ceiling_f05" in said and float(said.split("'f05': ")[1].split(",")[0]) > 0.6
-    assert Linkage(spark, folder=work).store.exists("features")
+    names = [p.name for p in (tmp_path / "work").iterdir()]
+    assert sum(n.startswith("features-new") for n in names) == 1 and "val_ids" in names and "val_report" in names
+    # Another split with the same stage folder must not see the first one's tables.
+    other = tmp_path / "half"
+    for n in (1, 2, 3):
+        source = tables.read_source(spark, data, "train", n)
+        tables.write_tsv(source.where("substr(entity_id, -1) in ('1', '2', '3')").select(*tables.RECORD_COLUMNS), f"{other}/test/test_source{n}.tsv")
+    assert cli.main(["predict", "--data", str(other), "--split", "test", "--work", work, "--out", out], spark) == 0
+    ids = {r[0] for r in tables.first_column(spark, f"{out}/matching_results").collect()}
+    assert ids and all(i[-1] in "123" for i in ids)
 
 
 def test_subset_keeps_true_matches(spark, folder, tmp_path):

@@ -10,8 +10,9 @@ from weftlink.operators.blocking import FLAGS
 
 RECORD_FIELDS = [
     "name_norm", "name_core", "name_alt", "legal_forms", "is_domain", "translit", "addr_norm", "addr_core",
-    "pincode", "house_number", "numeric_tokens", "state_code", "landmark", "business_address",
+    "pincode", "house_number", "numeric_tokens", "state_code", "landmark", "business_address", "country",
 ]
+# The names and the order of the features.
 FEATURES = [
     "name_lev", "name_jarowinkler", "name_token_set", "name_token_sort", "name_partial", "name_exact_core", "name_exact_norm",
     "name_first_token_match", "name_token_jaccard", "legal_form_match", "legal_form_conflict", "legal_form_missing", "either_is_domain",
@@ -57,7 +58,7 @@ def compute(candidates: DataFrame, records: DataFrame) -> DataFrame:
         "state_match": sim.tri_state(a("state_code"), b("state_code")),
         "landmark_overlap": F.when(no_landmark, -1.0).otherwise(sim.jaccard(sim.words(a("landmark")), sim.words(b("landmark")))),
         "addr_empty_a": blank(a), "addr_empty_b": blank(b), "addr_len_ratio": sim.length_ratio(a("addr_core"), b("addr_core")),
-        "country_match": F.lit(1), "source_is_s2": (F.col("source") == "S2").cast("int"),
+        "country_match": a("country").eqNullSafe(b("country")).cast("int"), "source_is_s2": (F.col("source") == "S2").cast("int"),
         **{f: F.col(f).cast("int") for f in FLAGS},
         "ann_sim": F.coalesce("ann_sim", F.lit(-1.0)), "ann_rank": F.coalesce("ann_rank", F.lit(-1)), "tfidf_sim": F.coalesce("tfidf_sim", F.lit(0.0)),
     }

@@ -30,6 +30,8 @@ def _fit(spark: SparkSession, a: argparse.Namespace) -> int:
     keys, truth = tables.read_truth(spark, a.data)
     fitted = linkage.fit(_records(spark, a.data, "train"), keys, truth)
     linkage.save(fitted, f"{a.work}/model")
+    fitted["val"].select("s1_entity_id").coalesce(1).write.mode("overwrite").text(f"{a.work}/val_ids")
+    linkage.measures(fitted).coalesce(1).write.mode("overwrite").json(f"{a.work}/val_report")
     print(f"k = {fitted['k']}, decision = {fitted['decision']}")
     return 0
 
@@ -39,19 +41,24 @@ def _predict(spark: SparkSession, a: argparse.Namespace) -> int:
     records = _records(spark, a.data, a.split)
     matches, candidates = linkage.predict(linkage.load(f"{a.work}/model"), records)
     linkage.write(_keys(records), matches, candidates, a.out)
-    return 0
+    known = records.where("source <> 'S1'").select("entity_id")
+    return _told(validate.check(spark, f"{a.out}/matching_results", f"{a.out}/candidate_pairs", _keys(records), known))
 
 
-def _validate(spark: SparkSession, a: argparse.Namespace) -> int:
-    records = _records(spark, a.data, a.split)
-    known = records.where("source <> 'S1'").select("entity_id") if a.check_ids else None
-    report = validate.check(spark, a.matches, a.candidates, _keys(records), known)
+def _told(report: validate.Report) -> int:
+    """Print a report; 1 if it has errors."""
     for kind, found in (("ERROR", report.errors), ("WARNING", report.warnings)):
         for message, number, examples in found:
             print(f"{kind}: {message}: {number} ({', '.join(examples)})")
     return 0 if report.ok else 1
 
 
+def _validate(spark: SparkSession, a: argparse.Namespace) -> int:
+    records = _records(spark, a.data, a.split)
+    known = records.where("source <> 'S1'").select("entity_id") if a.check_ids else None
+    return _told(validate.check(spark, a.matches, a.candidates, _keys(records), known))
+
+
 def _score(spark: SparkSession, a: argparse.Namespace) -> int:
     keys, truth = tables.read_truth(spark, a.data)
     found = scorer.score_files(spark, a.matches, keys, truth, a.ids, a.candidates)

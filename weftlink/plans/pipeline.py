@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 from dataclasses import asdict, dataclass, fields
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from weftlink.functions import text
 from weftlink.operators import blocking, decide, features, metrics, model, neighbours, split, tfidf
 from weftlink.sources import tables
-from weftlink.sources.staging import StageStore, shared_folder, staged
+from weftlink.sources.staging import StageStore, fingerprint, shared_folder, staged
 
 
 @dataclass
@@ -50,13 +51,21 @@ class Settings:
 class Linkage:
     """Normalize, block, featurize, train, tune, predict and validate.
 
-    With a folder, each stage's table is kept there and computed only if missing or forced.
+    With a folder, each stage's table is kept there under a name that holds a fingerprint of
+    what it was made from, and computed only if missing or forced.
     """
 
     def __init__(self, spark: SparkSession, settings: Settings | None = None, folder: str | None = None, force: bool = False):
         self.spark, self.settings, self.force = spark, settings or Settings(), force
         self.store = StageStore(spark, folder) if folder else None
 
+    def _run(self, *inputs: DataFrame | str) -> str:
+        """A name for what a run is made from; nothing is read if no tables are kept."""
+        if not self.store:
+            return ""
+        parts = [i if isinstance(i, str) else fingerprint(i) for i in inputs]
+        return "-" + hashlib.sha256(repr((parts, asdict(self.settings))).encode()).hexdigest()[:16]
+
     def _stage(self, name: str, make) -> DataFrame:
         return self.store.get(name, make, self.force) if self.store else staged(make(), name)
 
@@ -75,7 +84,7 @@ class Linkage:
             other = neighbours.hashed_embedding(normal.where("embed_text_native <> ''"), "embed_text_native")
             vectors = vectors.unionByName(other)
         found = blocking.union_candidates([
-            blocking.nearest(staged(vectors.select("entity_id", "source", "country", "vec"), "vectors"), k=s.k_ann, reverse_k=s.k_ann_reverse, search=neighbours.inverted),
+            blocking.nearest(staged(vectors.select("entity_id", "source", "country", "vec"), "vectors"), k=s.k_ann, reverse_k=s.k_ann_reverse, search=neighbours.inverted, forms=2 if s.native_embedding else 1),
             blocking.phonetic(normal, k=s.k_phonetic, cap=s.bucket_cap),
             blocking.house_number(normal, k=s.k_housenum, cap=s.bucket_cap),
             blocking.sorted_neighbourhood(normal, "sn_key_a", s.window),
@@ -100,29 +109,30 @@ class Linkage:
 
     def fit(self, records: DataFrame, keys: DataFrame, truth: DataFrame) -> dict:
         """Run all training stages. Returns idf, k, trees, calibration, decision, and the tables of this run."""
-        s = self.settings
-        normal = self.normalize(records)
+        s, run = self.settings, self._run(records, keys, truth)
+        normal = self.normalize(records, f"normalized{run}")
         idf = staged(self.fit_idf(normal), "idf")
-        union = self.candidates(normal, idf)
+        union = self.candidates(normal, idf, f"union{run}")
         pools = staged(split.assign_pools(keys, seed=s.seed, val=s.val_fraction, calib=s.calib_fraction, most_train=s.train_ids), "pools")
         val = pools.where("pool = 'val'").select("s1_entity_id")
         known = truth.join(val, "s1_entity_id", "left_semi")
-        sweep = self._stage("recall-sweep", lambda: blocking.recall_sweep(union, val, known))
+        sweep = self._stage(f"recall-sweep{run}", lambda: blocking.recall_sweep(union, val, known))
         if self.store:
             sweep.coalesce(1).write.mode("overwrite").csv(f"{self.store.folder}/recall_sweep_csv", header=True)
         k = s.k_final or blocking.choose_k(sweep)
-        rows = self.featurize(union, normal, k)
+        rows = self.featurize(union, normal, k, f"features{run}")
         trees, calibration = self.train(rows, truth, pools)
-        assigned = self.assign(rows, trees, calibration)
+        assigned = self.assign(rows, trees, calibration, f"assigned{run}")
         decision = decide.choose(assigned, val, known, floor=s.floor)
-        return {"idf": idf, "k": k, "trees": trees, "calibration": calibration, "decision": decision, "assigned": assigned, "features": rows, "val": val, "known": known}
+        return {"idf": idf, "k": k, "trees": trees, "calibration": calibration, "decision": decision, "assigned": assigned, "features": rows, "val": val, "known": known, "run": run}
 
     def predict(self, fitted: dict, records: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(matches, candidates) of new records with everything learned held fixed."""
-        normal = self.normalize(records, "normalized-new")
-        union = self.candidates(normal, fitted["idf"], "union-new")
-        rows = self.featurize(union, normal, fitted["k"], "features-new")
-        assigned = self.assign(rows, fitted["trees"], fitted["calibration"], "assigned-new")
+        run = self._run(records, f"{fitted['run']} {fitted['k']}")
+        normal = self.normalize(records, f"normalized-new{run}")
+        union = self.candidates(normal, fitted["idf"], f"union-new{run}")
+        rows = self.featurize(union, normal, fitted["k"], f"features-new{run}")
+        assigned = self.assign(rows, fitted["trees"], fitted["calibration"], f"assigned-new{run}")
         return decide.apply(assigned, fitted["decision"]), rows.select("s1_entity_id", "cand_entity_id")
 
     def write(self, keys: DataFrame, matches: DataFrame, candidates: DataFrame, folder: str) -> None:
@@ -133,17 +143,20 @@ class Linkage:
         """Models, frequencies, k and the decision, for a later predict()."""
         model.save(fitted["trees"], fitted["calibration"], folder)
         fitted["idf"].write.mode("overwrite").parquet(f"{folder}/idf")
-        state = json.dumps({"k": fitted["k"], "decision": fitted["decision"], "settings": asdict(self.settings)})
+        state = json.dumps({"k": fitted["k"], "decision": fitted["decision"], "run": fitted["run"], "settings": asdict(self.settings)})
         self.spark.createDataFrame([(state,)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/state")
 
     def load(self, folder: str) -> dict:
         trees, calibration = model.load(folder)
         state = json.loads(self.spark.read.text(f"{folder}/state").first()[0])
-        return {"idf": self.spark.read.parquet(f"{folder}/idf"), "k": state["k"], "decision": state["decision"], "trees": trees, "calibration": calibration}
+        return {"idf": self.spark.read.parquet(f"{folder}/idf"), "k": state["k"], "decision": state["decision"], "run": state["run"], "trees": trees, "calibration": calibration}
 
     def report(self, records: DataFrame, keys: DataFrame, truth: DataFrame) -> DataFrame:
         """Measures of the chosen decision and of the baseline score on the validation pool."""
-        fitted = self.fit(records, keys, truth)
+        return self.measures(self.fit(records, keys, truth))
+
+    def measures(self, fitted: dict) -> DataFrame:
+        """What report() returns, of a run of fit()."""
         val, known = fitted["val"], fitted["known"]
         own = decide.apply(fitted["assigned"], fitted["decision"]).join(val, "s1_entity_id", "left_semi")
         base = decide.one_owner(features.baseline_score(fitted["features"]), "baseline_score")

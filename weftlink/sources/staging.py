@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,8 +27,19 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fingerprint(df: DataFrame) -> str:
+    """A name for the rows of df, whatever their order: their number and two sums of hashes over all columns."""
+    names = sorted(df.columns)
+    one, two = F.xxhash64(*names), F.xxhash64(F.lit(7), *names)
+    found = df.agg(F.count("*"), F.sum(one.cast("decimal(20,0)")), F.bit_xor(two)).first()
+    return hashlib.sha256(repr((names, *map(str, found))).encode()).hexdigest()[:16]
+
+
 class StageStore:
-    """Named stage tables under one folder; a stage is computed only if it is missing or forced."""
+    """Named stage tables under one folder; a stage is computed only if it is missing or forced.
+
+    Names must tell inputs apart: callers put a fingerprint of theirs in.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")

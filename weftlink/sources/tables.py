@@ -15,14 +15,22 @@ RECORD_COLUMNS = ["entity_id", "business_name", "business_address", "country"]
 
 
 def data_folder(*places: str) -> str:
-    """The first folder, of WEFTLINK_DATA and the given places, that holds train/train_source1.tsv."""
+    """The first folder, of WEFTLINK_DATA and the given places, that holds train/train_source1.tsv; on any file system that Spark reads."""
     tried = [p for p in (os.environ.get("WEFTLINK_DATA"), *places, "data") if p]
     for place in tried:
-        if os.path.exists(os.path.join(place, "train", "train_source1.tsv")):
+        if _exists(f"{place}/train/train_source1.tsv"):
             return place
     raise FileNotFoundError(f"no train/train_source1.tsv in {tried}")
 
 
+def _exists(path: str) -> bool:
+    spark = SparkSession.getActiveSession()
+    if "://" not in path or spark is None:
+        return os.path.exists(path)
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None, limit: int | None = None) -> DataFrame:
     """All cells as text; nothing is taken for null."""
     header = spark.read.text(path).first()
