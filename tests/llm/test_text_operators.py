@@ -109,6 +109,33 @@ def test_clause_grammar_reads_context():
     assert machine.registers("idiots' idiot. idiot")[0] > machine.registers("idiot")[0]
 
 
+def test_composition_equals_running_in_turn():
+    rng = random.Random(6)
+    parts, whole = toxicity.forward_parts(), toxicity.composed()
+    bits = [toxicity.INSULT, toxicity.THREAT, toxicity.INTENT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.AHEAD]
+    for _ in range(400):
+        symbols = [sum({rng.choice(bits) for _ in range(rng.randint(0, 2))}) for _ in range(rng.randint(0, 25))]
+        turn = symbols
+        for part in parts:
+            turn = part.run(turn)
+        assert whole.run(symbols) == turn
+    three = toxicity.compose(toxicity.compose(parts[0], parts[1]), parts[2])
+    assert three.run([16, 1, 4, 1]) == toxicity.compose(parts[0], toxicity.compose(parts[1], parts[2])).run([16, 1, 4, 1])
+    assert len({state for state, _ in whole.steps}) <= 4 * 2 * 5 * 5
+
+
+def test_a_clause_matches_one_pattern():
+    machine = toxicity.Acceptor(toxicity.Grammar({t: 3.0 for t in toxicity.INSULTS}))
+    read = lambda text: machine.clause(text.lower().split())
+    assert read("what an idiot") == ("bare", 3.0) and read("idiot he is") == ("aimed", 3.0) and read("a fine day") is None
+    assert read("i will kill you idiot") == ("threat", 1.0) and read("they kill time") is None
+    assert read("never an idiot") == ("negated", 3.0) and read("the paper reported an idiot") == ("reported", 3.0)
+    assert read("you are an idiot and a moron") == ("aimed", 3.0) and read("idiots idiots moron") == ("bare", 9.0)
+    assert read("you were five long words away from idiot") == ("bare", 3.0)
+    # Each pattern counts once a clause: what is graver hides the rest.
+    assert machine.registers("You idiot, he said, is no fool but a moron.")[:5].count(0.0) == 4
+
+
 def test_learned_stems_need_varied_contexts():
     toxic = [f"q{chr(97 + i)} krumpf{chr(97 + i)}en end" for i in range(20)]
     clean = [f"q{chr(97 + i % 20)} ordinary end" for i in range(40)]

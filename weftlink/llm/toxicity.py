@@ -1,15 +1,19 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A clause is a run of words up to sentence punctuation or a line break. Five small
-transducers each rewrite the words of a clause into marks: insult, threat, target,
-negation and reported speech. The clause acceptor is their composition: it reads the
-marks from left to right, with a register for how near the last target, negation and
-reporting mark are, and adds up weights along its one path. Isolated words do not count
-by themselves; the clause they stand in decides by how much.
+A clause is a run of words up to sentence punctuation or a line break. Its words become
+symbols, sets of what they may be: insult, threat, intent, target, negation, reporting
+word. The insult transducer reads letters; its arcs are words and stems, with weights. The
+others are tables from state and symbol to state and marks: threat marks what intent
+precedes, target what a target is close to (one transducer reads forwards, one backwards),
+negation and reported speech what they govern. compose() makes one table of the forward
+ones and of the last, which reads all marks and writes what a word amounts to in its
+clause. The clause as a whole then matches one pattern, the gravest that occurs in it:
+threat, aimed insult, bare insult, reported or negated, with the weights of the arcs that
+lead there. Clauses are scored, not words: whatever else occurs in a clause adds nothing.
 
 Weights are log odds. The insult transducer starts from fixed word lists in four languages
 and takes up words and stems that labelled clean and toxic documents tell apart; a logistic
-regression over what the acceptor reports then sets the odds of a document.
+regression over the patterns of a document's clauses then sets its odds.
 
 Contract of score(): null and empty texts get the score of a text without any match; rows
 map one to one; columns named like an output give way to it. Whole texts are read.
@@ -20,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache, reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,17 +47,102 @@ widerlich erbärmlich wertlos versager imbécile crétin abruti ordure salaud mi
 estúpida escoria basura asqueroso payaso miserable""".split()
 THREATS = """kill hurt destroy beat crush stab shoot burn töten umbringen zerstören schlagen tuer détruire frapper matar
 destruir golpear""".split()
-INTENT = "will going gonna shall must werde wirst wird vais va voy va vamos".split()
+INTENTS = "will going gonna shall must werde wirst wird vais va voy va vamos".split()
 TARGETS = """you your yours yourself he she they them him her his their du dich dir dein deine ihr euch sie er tu te toi
 ton ta vous votre vos il elle ils elles tú ti usted ustedes vosotros él ella ellos ellas""".split()
 NEGATIONS = "not no never isn't aren't don't nobody nicht kein keine nie niemals ne pas jamais aucun nunca jamás ningún ninguna".split()
 REPORTS = """said says saying told called calls reported reports quoted wrote claimed alleged according sagte sagt nannte laut schrieb dit
 disait selon appelé écrit dijo dice según llamó escribió""".split()
 
-FEATURES = ["plain", "aimed", "negated", "reported", "threat", "strongest", "share"]
+FEATURES = ["bare", "aimed", "negated", "reported", "threat", "strongest", "share"]
 _CLAUSE_END = re.compile(r"[.!?;:\n\r]+")
 _word = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?").findall
 _REACH = 4
+#: Words that a worker remembers the symbol of.
+_SYMBOLS = 100_000
+
+# Bits of a symbol: what a word may be, then what transducers write.
+INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = (1 << i for i in range(6))
+AHEAD, NEAR, MEANT, DENIED, TOLD = (1 << i for i in range(6, 11))
+#: What a word amounts to, the gravest first, and its bit.
+PATTERNS = {"threat": 1 << 11, "aimed": 1 << 12, "bare": 1 << 13, "reported": 1 << 14, "negated": 1 << 15}
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """Tables of a sequential transducer: from (state, the bits it reads) to (state, bits written); it starts in state 0."""
+
+    reads: int
+    writes: int
+    steps: dict[tuple[int, int], tuple[int, int]]
+
+    def run(self, symbols: list[int]) -> list[int]:
+        """The symbols with what it writes to each."""
+        state, out = 0, []
+        for symbol in symbols:
+            state, written = self.steps[state, symbol & self.reads]
+            out.append(symbol | written)
+        return out
+
+
+def _subsets(bits: int):
+    part = bits
+    while True:
+        yield part
+        if not part:
+            return
+        part = (part - 1) & bits
+
+
+def behind(trigger: int, mark: int, reach: int) -> Transducer:
+    """Marks the `reach` symbols that follow a trigger."""
+    steps = {(s, bit): (reach if bit else max(s - 1, 0), mark if s else 0) for s in range(reach + 1) for bit in (0, trigger)}
+    return Transducer(trigger, mark, steps)
+
+
+def from_then_on(trigger: int, mark: int) -> Transducer:
+    """Marks all symbols that follow a trigger."""
+    return Transducer(trigger, mark, {(s, bit): (int(s or bit > 0), mark if s else 0) for s in (0, 1) for bit in (0, trigger)})
+
+
+def judgement() -> Transducer:
+    """Writes what a word amounts to, from its marks."""
+    reads, steps = INSULT | THREAT | AHEAD | NEAR | MEANT | DENIED | TOLD, {}
+    for x in _subsets(reads):
+        meant = x & THREAT and x & MEANT
+        name = "negated" if x & DENIED else "reported" if x & TOLD else "threat" if meant else "aimed" if x & (NEAR | AHEAD) else "bare"
+        steps[0, x] = (0, PATTERNS[name] if meant or x & INSULT else 0)
+    return Transducer(reads, sum(PATTERNS.values()), steps)
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that writes what `second` writes after `first`; only pairs of states that can be reached."""
+    reads = first.reads | second.reads & ~first.writes
+    number, steps, todo = {(0, 0): 0}, {}, [(0, 0)]
+    while todo:
+        pair = todo.pop()
+        for symbol in _subsets(reads):
+            one, written = first.steps[pair[0], symbol & first.reads]
+            two, more = second.steps[pair[1], (symbol | written) & second.reads]
+            if (one, two) not in number:
+                number[one, two] = len(number)
+                todo.append((one, two))
+            steps[number[pair], symbol] = (number[one, two], written | more)
+    return Transducer(reads, first.writes | second.writes, steps)
+
+
+def forward_parts() -> list[Transducer]:
+    """The transducers that read forwards, in the order in which they are composed."""
+    return [behind(NEGATION, DENIED, _REACH - 1), from_then_on(REPORT, TOLD), behind(INTENT, MEANT, _REACH), behind(TARGET, NEAR, _REACH), judgement()]
+
+
+#: The transducer that reads a clause backwards, so that an insult knows of a target ahead.
+BACKWARD = behind(TARGET, AHEAD, _REACH)
+
+
+@lru_cache(maxsize=1)
+def composed() -> Transducer:
+    return reduce(compose, forward_parts())
 
 
 @dataclass
@@ -69,7 +159,7 @@ class Grammar:
 
 
 class Acceptor:
-    """The composed machine of one grammar."""
+    """The grammar's transducers: insult arcs over letters, the composed one and the backward one over symbols."""
 
     def __init__(self, grammar: Grammar):
         import ahocorasick
@@ -77,8 +167,11 @@ class Acceptor:
         self.grammar = grammar
         self.whole = {t: w for t, w in grammar.terms.items() if not t.endswith("+")}
         self.stems = {t[:-1]: w for t, w in grammar.terms.items() if t.endswith("+")}
-        self.threats, self.intent = set(THREATS), set(INTENT)
-        self.targets, self.negations, self.reports = set(TARGETS), set(NEGATIONS), set(REPORTS)
+        self.lexicon: dict[str, int] = {}
+        for words, bit in ((THREATS, THREAT), (INTENTS, INTENT), (TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
+            for word in words:
+                self.lexicon[word] = self.lexicon.get(word, 0) | bit
+        self.machine, self.known = composed(), {}
         self.finder = ahocorasick.Automaton()
         for term in {*self.whole, *self.stems, *THREATS}:
             self.finder.add_word(term, len(term))
@@ -104,44 +197,42 @@ class Acceptor:
             spans.append((left, close.start() if close else len(text)))
         return spans
 
-    def clause(self, words: list[str]) -> tuple[list[tuple[str, float]], int]:
-        """Matches of one clause with their kind, and the number of its words."""
-        far = -10 * _REACH
-        target = negation = intent = far
-        reported = False
-        found: list[list] = []
-        for at, word in enumerate(words):
+    def symbol(self, word: str) -> tuple[int, float]:
+        """What a word may be, and the weight of the insult arc that reads it."""
+        found = self.known.get(word)
+        if found is None:
             weight = self.insult(word)
-            threat = word in self.threats and at - intent <= _REACH
-            if weight or threat:
-                near = at - target <= _REACH
-                kind = "negated" if at - negation < _REACH else "reported" if reported else "threat" if threat else "aimed" if near else "plain"
-                found.append([kind, weight or 1.0, at])
-            if word in self.targets:
-                target = at
-                for match in found:
-                    if match[0] == "plain" and at - match[2] <= _REACH:
-                        match[0] = "aimed"
-            elif word in self.negations:
-                negation = at
-            elif word in self.reports:
-                reported = True
-            elif word in self.intent:
-                intent = at
-        return [(kind, weight) for kind, weight, _ in found], len(words)
+            found = (self.lexicon.get(word, 0) | (INSULT if weight else 0), weight)
+            if len(self.known) >= _SYMBOLS:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+    def clause(self, words: list[str]) -> tuple[str, float] | None:
+        """The pattern that a clause matches, and its weight; None if it matches none."""
+        read = [self.symbol(w) for w in words]
+        symbols = BACKWARD.run([s for s, _ in read][::-1])[::-1]
+        sums = dict.fromkeys(PATTERNS, 0.0)
+        for symbol, (_, weight) in zip(self.machine.run(symbols), read, strict=True):
+            for name, bit in PATTERNS.items():
+                if symbol & bit:
+                    sums[name] += weight or 1.0
+        return next(((name, weight) for name, weight in sums.items() if weight), None)
 
     def registers(self, text: str | None) -> list[float]:
-        """What the acceptor reports of a text, in the order of FEATURES."""
+        """What the clauses of a text add up to, in the order of FEATURES."""
         out = dict.fromkeys(FEATURES, 0.0)
         if text:
             text = text.lower()
             length = 0
             for begin, end in self.suspects(text):
-                matches, n = self.clause(_word(text[begin:end]))
-                length += n if matches else 0
-                for kind, weight in matches:
+                words = _word(text[begin:end])
+                match = self.clause(words)
+                if match:
+                    kind, weight = match
+                    length += len(words)
                     out[kind] += weight
-                    if kind in ("plain", "aimed", "threat"):
+                    if kind in ("bare", "aimed", "threat"):
                         out["strongest"] = max(out["strongest"], weight)
             out["share"] = float(np.log1p(length))
         return [float(np.log1p(out[k])) if k not in ("strongest", "share") else out[k] for k in FEATURES]
