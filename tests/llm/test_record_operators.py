@@ -26,6 +26,35 @@ def test_salvage_recovers_what_follows_damage(pack):
     assert warc.salvage(b"") == [] and isinstance(warc.salvage(b"junk")[0], warc.Gap)
 
 
+def test_salvage_inside_a_member_of_several_records():
+    rng = random.Random(4)
+    records = [warc.encode_record(i, f"http://host/{i}", bytes(rng.randrange(256) for _ in range(3000))) for i in range(6)]
+    ids = lambda found: [warc.page_of(r.fields["warc-record-id"]) for r in found if isinstance(r, warc.Record)]
+    gaps = lambda found: [g for g in found if isinstance(g, warc.Gap)]
+    tail = warc.member(warc.encode_record(9, "u", b"p"))
+    bad = list(records)
+    bad[2] = bad[2][:-50] + b"?" + bad[2][-49:]
+    found = warc.salvage(warc.member(b"".join(bad)) + tail)
+    assert ids(found) == [0, 1, 3, 4, 5, 9] and len(gaps(found)) == 1 and "in the member" in gaps(found)[0].reason
+    whole = warc.member(b"".join(records))
+    for cut, left in ((8, 6), (10, 5)):  # without its check and length, and without the end of the last record
+        found = warc.salvage(whole[:-cut])
+        assert ids(found) == list(range(left)) and [(g.offset, g.length) for g in gaps(found)] == [(0, len(whole) - cut)]
+    found = warc.salvage(whole[: len(whole) // 2] + tail)
+    assert ids(found) == [0, 1, 9] or ids(found) == [0, 1, 2, 9]
+    torn = bytearray(whole)
+    torn[len(whole) // 2] ^= 0xFF
+    found = warc.salvage(bytes(torn) + tail)
+    assert ids(found)[:2] == [0, 1] and ids(found)[-1] == 9 and gaps(found)
+
+
+def test_salvage_reads_each_byte_about_once():
+    data = b"".join(warc.member(warc.encode_record(i, f"http://host/{i}", b"page %d " % i * 40)) for i in range(6000))
+    read = []
+    found = list(warc.Salvage(lambda at, n: read.append(n) or data[at : at + n], len(data)))
+    assert len(found) == 6000 and sum(read) <= 1.1 * len(data) + warc.CHUNK
+
+
 def test_wrong_length_does_not_swallow_the_next_record():
     first, second = (warc.encode_record(i, "u", b"payload %d" % i) for i in (1, 2))
     broken = first.replace(b"Content-Length: %d\r\nWARC" % 0, b"").replace(b"Content-Type: application/http", b"Content-Type: application/httq")

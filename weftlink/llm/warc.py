@@ -3,7 +3,8 @@
 Archives hold one gzip member per record (plain records are read too). The reader checks
 what it parses: gzip's own check, the version line, lengths and digests. Where a check
 fails it searches for the next gzip member that begins a record, or the next version line,
-goes on from there, and logs the bytes in between as a quarantined gap.
+goes on from there, and logs the bytes in between as a quarantined gap. The same holds
+inside a member of several records, and for what inflates of a damaged one.
 
 Contract of write_pages() and read_archives(): a null url is an empty one, a null html an
 empty payload. Of records with equal payloads of at least `least` bytes the smallest
@@ -33,7 +34,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 ROLL_BYTES = 64 << 20
 #: Bytes first read for a header; a longer one is read on in doubled blocks.
-HEADER = 1 << 16
+HEADER = 1 << 12
 #: Compressed bytes read at a time, and salted copies of a duplicate group's first page.
 CHUNK = 1 << 20
 SALTS = 64
@@ -106,27 +107,46 @@ class Damaged(Exception):
     """A check that failed."""
 
 
-class Salvage:
-    """Reads records of an archive of `length` bytes through fetch(offset, size)."""
+class _Blocks:
+    """fetch(offset, size) through a buffer of CHUNK bytes or more, so that reading on reads each byte about once."""
 
     def __init__(self, fetch: Callable[[int, int], bytes], length: int):
-        self.fetch, self.length = fetch, length
+        self.fetch, self.length, self.at, self.data = fetch, length, 0, b""
+
+    def __call__(self, at: int, n: int) -> bytes:
+        n = min(n, self.length - at)
+        if n <= 0:
+            return b""
+        if at < self.at or at + n > self.at + len(self.data):
+            self.at, self.data = at, self.fetch(at, min(max(n, CHUNK), self.length - at))
+        return self.data[at - self.at : at - self.at + n]
+
+
+class Salvage:
+    """Reads records of an archive of `length` bytes through fetch(offset, size).
+
+    What lies in a member is scanned like an archive of its own. Of a member that is cut off
+    or fails its check, what inflates before that is scanned too, and records come of it if
+    they state a digest of their block and it holds.
+    """
+
+    def __init__(self, fetch: Callable[[int, int], bytes], length: int, members: bool = True):
+        self.fetch, self.length, self.members = _Blocks(fetch, length) if members else fetch, length, members
 
     def __iter__(self) -> Iterator[Record | Gap]:
         at, gap, reason = 0, None, ""
         while at < self.length:
-            try:
-                found, end = self._read(at)
-            except Damaged as broken:
+            found, end, broken = self._read(at)
+            if broken is None:
+                if gap is not None:
+                    yield Gap(gap, at - gap, reason)
+                    gap = None
+                at = end
+            else:
                 if gap is None:
-                    gap, reason = at, str(broken)
+                    gap, reason = at, broken
                 at = self._next(at + 1)
-                continue
-            if gap is not None:
-                yield Gap(gap, at - gap, reason)
-                gap = None
             yield from found
-            at = end
         if gap is not None:
             yield Gap(gap, self.length - gap, reason)
 
@@ -134,7 +154,7 @@ class Salvage:
         """Where the next member or version line may begin."""
         while at < self.length:
             part = self.fetch(at, CHUNK)
-            hits = [h for h in (part.find(_MEMBER), part.find(_LINE)) if h >= 0]
+            hits = [h for h in (part.find(_MEMBER) if self.members else -1, part.find(_LINE)) if h >= 0]
             if hits:
                 return at + min(hits)
             if at + len(part) >= self.length:
@@ -142,42 +162,59 @@ class Salvage:
             at += max(1, len(part) - len(_LINE) + 1)
         return self.length
 
-    def _read(self, at: int) -> tuple[list[Record], int]:
+    def _read(self, at: int) -> tuple[list[Record | Gap], int, str | None]:
+        """What is found at a place, where it ends, and why it is damaged, if it is."""
         start = self.fetch(at, len(_LINE))
-        if start.startswith(_MEMBER):
+        if self.members and start.startswith(_MEMBER):
             return self._member(at)
-        if start.startswith(_LINE):
+        if not start.startswith(_LINE):
+            return [], at, "no member or version line"
+        try:
             record, size = parse(lambda begin, n: self.fetch(at + begin, n), self.length - at)
-            return [Record(at, size, *record)], at + size
-        raise Damaged("no member or version line")
-
-    def _member(self, at: int) -> tuple[list[Record], int]:
-        inflate, parts, here = zlib.decompressobj(31), [], at
-        first = b""
-        while not inflate.eof:
-            data = self.fetch(here, CHUNK)
+        except Damaged as broken:
+            return [], at, str(broken)
+        return [Record(at, size, *record)], at + size, None
+
+    def _member(self, at: int) -> tuple[list[Record | Gap], int, str | None]:
+        inflate, content, here, size, broken = zlib.decompressobj(31), bytearray(), at, 1 << 13, None
+        while not inflate.eof and broken is None:
+            data, before = self.fetch(here, size), inflate.copy()
             if not data:
-                raise Damaged("member is cut off")
+                broken = "member is cut off"
+                break
             try:
-                parts.append(inflate.decompress(data))
-            except zlib.error as broken:
-                raise Damaged(f"member fails its check: {broken}") from None
-            here += len(data)
-            first = first if len(first) >= len(_LINE) else (first + parts[-1])[: len(_LINE)]
-            if len(first) == len(_LINE) and first != _LINE:
-                raise Damaged("member holds no record")
+                content += inflate.decompress(data)
+            except zlib.error as error:
+                broken = f"member fails its check: {error}"
+                content += _until_error(before, data)
+            here, size = here + len(data), min(2 * size, CHUNK)
+            if len(content) >= len(_LINE) and not content.startswith(_LINE):
+                return [], at, "member holds no record"
         end = here - len(inflate.unused_data)
-        content, records, begin = b"".join(parts), [], 0
-        while begin < len(content):
-            own = memoryview(content)[begin:]
-            record, size = parse(lambda b, n, own=own: bytes(own[b : b + n]), len(own))
-            records.append(Record(at, end - at, *record))
-            begin += size
-        return records, end
+        view = memoryview(content)
+        found: list[Record | Gap] = list(Salvage(lambda begin, n: bytes(view[begin : begin + n]), len(content), members=False))
+        records = [Record(at, end - at, r.fields, r.block) for r in found if isinstance(r, Record)]
+        if broken:
+            return [r for r in records if r.fields.get("warc-block-digest", "").startswith("sha1:")], at, broken
+        gaps = [Gap(at, end - at, f"{g.length} bytes at {g.offset} in the member: {g.reason}") for g in found if isinstance(g, Gap)]
+        if gaps and not records:
+            return [], at, gaps[0].reason
+        return [*records, *gaps], end, None
+
+
+def _until_error(inflate, data: bytes) -> bytes:
+    """What inflates of data before the error in it."""
+    out = bytearray()
+    try:
+        for i in range(len(data)):
+            out += inflate.decompress(data[i : i + 1])
+    except zlib.error:
+        pass
+    return bytes(out)
 
 
 def parse(fetch: Callable[[int, int], bytes], length: int) -> tuple[tuple[dict[str, str], bytes], int]:
-    """(fields, block) of the plain record at 0, and its size with the closing line ends."""
+    """(fields, block) of the plain record at 0, and its size with the closing line ends; raises Damaged."""
     head = fetch(0, min(HEADER, length))
     close = head.find(b"\r\n\r\n")
     while close < 0 and len(head) < length and head.startswith(_LINE):
