@@ -174,7 +174,10 @@ def test_permutations_and_draws():
         assert (first == total).all() and counts.sum() == 10
         total += counts
     assert (total == slots).all()
-    assert mixing._draw(np.random.default_rng(0), np.array([2 * 10**9, 10**9]), 10**6).sum() == 10**6
+    rng = np.random.default_rng(0)
+    big = np.array([mixing._draw(rng, (2 * 10**9, 10**9), 9000) for _ in range(400)])
+    assert (big.sum(axis=1) == 9000).all() and abs(big[:, 0].mean() - 6000) < 10 and 38 < big[:, 0].std() < 52
+    assert mixing._draw(rng, (10**9, 0, 5), 10**9 + 5) == (10**9, 0, 5) and mixing._hypergeometric(rng, 1, 10**9, 1) in (0, 1)
 
 
 def test_targets_are_held_and_reshared():
@@ -184,6 +187,22 @@ def test_targets_are_held_and_reshared():
     assert mixing.targets([0, 0]) == [0.0, 0.0] and mixing.targets([]) == []
 
 
+def _targets_by_filling(sizes, cap=3):
+    """Targets by pouring the total in small steps by weight into sources that still have room."""
+    weight = [(5, 2, 1)[i % 3] for i in range(len(sizes))]
+    out, left = [0.0] * len(sizes), float(sum(sizes))
+    while left > 1e-9:
+        room = [i for i in range(len(sizes)) if out[i] < cap * sizes[i] - 1e-9]
+        if not room:
+            break
+        all_weight = sum(weight[i] for i in room)
+        step = min([left] + [(cap * sizes[i] - out[i]) * all_weight / weight[i] for i in room])
+        for i in room:
+            out[i] += step * weight[i] / all_weight
+        left -= step
+    return out
+
+
 def _check_mix(rows, table):
     found = mixing.mix(table).taken().collect()
     assert len(found) == len(rows)
@@ -191,7 +210,7 @@ def _check_mix(rows, table):
     for _, text, source in rows:
         sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    want = dict(zip(order, mixing.targets([sizes[s] for s in order]), strict=True))
+    want = dict(zip(order, _targets_by_filling([sizes[s] for s in order]), strict=True))
     taken = dict.fromkeys(order, 0)
     for r in found:
         assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6 and 0 <= r.taken <= 3 * r["size"]
@@ -219,6 +238,22 @@ def test_mix_of_edge_rows(spark):
     assert mixing.resample(edge_docs(spark)).columns == edge_docs(spark).columns
 
 
+def test_resample_keeps_rows_apart(spark):
+    rng = random.Random(2)
+    rows = [(None if i % 3 else i % 7, " ".join(f"w{rng.randrange(90)}" for _ in range(rng.randint(1, 90))), rng.choice("abc"), i, i) for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, _id int, _copy int")
+    out = mixing.resample(table)
+    assert out.columns == table.columns
+    size = {r[3]: len(r[1].split()) for r in rows}
+    words, total = {}, {}
+    for r in out.collect():
+        words[r.source] = words.get(r.source, 0) + size[r["_id"]]
+    for r in rows:
+        total[r[2]] = total.get(r[2], 0) + size[r[3]]
+    want = dict(zip("abc", _targets_by_filling([total[s] for s in "abc"]), strict=True))
+    assert all(abs(words[s] - want[s]) < 0.1 * want[s] for s in "abc")
+
+
 def test_pipeline_stages(spark):
     """Each stage against what it must keep of its own input, brute-forced."""
     folder = "/root/testdata/sf0.001"

@@ -270,4 +270,4 @@ def cluster(prints: DataFrame) -> DataFrame:
     nodes = work.save(label.join(least, "label").select("name", "copy_of", "component_id"), "by-name")
     out = prints.select("id", F.size("codes").alias("n_codes"), "name").join(nodes, "name", "left")
     alone = F.col("name").isNull()
-    return out.select("id", "n_codes", F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return work.finish(out.select("id", "n_codes", F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))

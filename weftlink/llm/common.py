@@ -49,14 +49,14 @@ class Workspace:
     """Intermediate tables of one operator call, written to the shared folder.
 
     A written table cuts lineage and outlives any executor. drop() frees one that is
-    no longer read.
+    no longer read, finish() all that a result does not read.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         light_batches(spark)
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        self.serial = 0
+        self.serial, self.tables = 0, []
 
     def path(self, name: str) -> str:
         self.serial += 1
@@ -67,6 +67,7 @@ class Workspace:
         df.write.mode("overwrite").parquet(where)
         out = self.spark.read.schema(df.schema).parquet(where)
         out._weft_path = where
+        self.tables.append(out)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
@@ -74,6 +75,15 @@ class Workspace:
         for table in tables:
             where = jvm.org.apache.hadoop.fs.Path(table._weft_path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+            self.tables = [t for t in self.tables if t is not table]
+
+    def finish(self, result: DataFrame) -> DataFrame:
+        """result, with every table deleted that it does not read."""
+        files = result.inputFiles()
+        own = f"/{self.root.rpartition('/')[2]}/"
+        read = {f.partition(own)[2].partition("/")[0] for f in files if own in f}
+        self.drop(*(t for t in self.tables if t._weft_path.rpartition("/")[2] not in read))
+        return result
 
 
 def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -82,6 +92,20 @@ def small_enough(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[DataFrame,
     return (F.broadcast(df) if fits else df), fits
 
 
+#: Rows of one key that go to one task in join_spread().
+PIECE = 512
+
+
+def join_spread(rows: DataFrame, table: DataFrame, key: str, by: str, work: Workspace) -> DataFrame:
+    """rows joined with table by key. A key that more than PIECE rows hold is dealt over several tasks by a hash of `by`,
+    and its row of the table goes to each of them, so no key gathers a large part of the rows in one."""
+    heavy = rows.groupBy(key).agg(F.count("*").alias("__c")).where(F.col("__c") > PIECE).select(F.col(key).alias("__hot"), F.expr(f"bigint(ceil(__c / {PIECE}))").alias("__pieces"))
+    heavy, _ = small_enough(work.save(heavy, "heavy"))
+    spread = rows.join(heavy, F.col(key) == F.col("__hot"), "left").withColumn("__piece", F.coalesce(F.pmod(F.xxhash64(by), F.col("__pieces")), F.lit(0).cast("long")))
+    every = table.join(heavy, F.col(key) == F.col("__hot"), "left").withColumn("__piece", F.explode(F.expr("sequence(0L, coalesce(__pieces, 1L) - 1)")))
+    return spread.drop("__hot", "__pieces").join(every.drop("__hot", "__pieces"), [key, "__piece"]).drop("__piece")
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Column names like these that df has not."""
     taken = {c.lower() for c in df.columns}

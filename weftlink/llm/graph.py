@@ -11,9 +11,10 @@ from weftlink.llm.common import Workspace
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """(node, label) for every node of edges(a, b): label is the least node of its component.
 
-    Each round contracts at least half of the roots that still have an edge, so the
-    number of rounds grows with the logarithm of the longest path. No step gathers a
-    component: sums and minima are combined before shuffling, and edges join labels by key.
+    In each round every root that has a smaller neighbour is hooked to its least one and
+    chains of hooks are followed to their ends, so the least node of any neighbourhood takes
+    it over; a star with the greatest node in its middle takes two rounds. No step gathers
+    a component: minima are combined before shuffling, and edges join labels by key.
     """
     live = work.save(edges.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).where("low < high").distinct(), "edges")
     first = live

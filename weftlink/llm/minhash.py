@@ -39,7 +39,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import Workspace, free_names, small_enough, tidy, worker_state
+from weftlink.llm.common import Workspace, free_names, join_spread, small_enough, tidy, worker_state
 from weftlink.llm.graph import components
 
 SHINGLE = 5
@@ -50,8 +50,7 @@ MISS = 1e-4
 SMALL = 12
 #: Groups whose bins of the bound may be broadcast (BINS small rows each).
 STEP_ROWS = 5000
-#: Pairs of one pivot that go to one task, and bins of the bound in _partnered().
-PIECE = 512
+#: Bins of the bound in _partnered().
 BINS = 64
 #: Words of 64 bits in the parity sketch of what a node shares.
 PARITY = 8
@@ -174,13 +173,10 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame, work: Workspace) -> DataFrame:
-    """pairs(a, b, ...) with both sets. Many pairs may have the same a: they go to as many tasks as PIECE asks for."""
-    degree = work.save(pairs.groupBy("a").agg(F.count("*").alias("c")).select(F.col("a").alias("hub"), F.expr(f"bigint(ceil(c / {PIECE}))").alias("pieces")), "degrees")
-    heavy, _ = small_enough(degree.where("pieces > 1"))
-    spread = pairs.join(heavy, F.col("a") == F.col("hub"), "left").withColumn("piece", F.coalesce(F.expr("pmod(xxhash64(b), pieces)"), F.lit(0))).drop("hub", "pieces")
-    ours = degree.join(sets, F.col("hub") == F.col("node")).select(F.col("hub").alias("a"), F.explode(F.expr("sequence(0L, pieces - 1)")).alias("piece"), F.col("shingles").alias("set_a"))
+    """pairs(a, b, ...) with both sets; many pairs may have the same a."""
+    ours = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     theirs = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return spread.join(theirs, "b").join(ours, ["a", "piece"]).drop("piece")
+    return join_spread(pairs.join(theirs, "b"), ours, "a", "b", work)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
@@ -231,7 +227,6 @@ def links(docs: DataFrame, work: Workspace, shingle: int = SHINGLE, percent: int
     found = found.union(last)
     if not found.isEmpty():
         labels = components(edges.union(found), work)
-    work.drop(sets, rest, marked)
     return base, labels
 
 
@@ -265,44 +260,72 @@ def _member_sets(docs: DataFrame, base: DataFrame, groups: DataFrame, shingle: i
     return _sets(texts, shingle).dropDuplicates(["node"])
 
 
+def _merged(members: DataFrame, work: Workspace) -> DataFrame:
+    """members(pivot, pivot_n, node, n) with each group joined to the largest one that its pivot is a member of.
+
+    Nodes that share a group still share one, and a family whose buckets have many pivots
+    becomes few groups instead of one for each pivot.
+    """
+    size = work.save(members.groupBy("pivot", "pivot_n").agg(F.count("*").alias("c")), "group-sizes")
+    sizes, _ = small_enough(size.select("pivot", "c"))
+    best = members.join(sizes, "pivot").groupBy("node").agg(F.max(F.struct("c", "pivot")).alias("best"))
+    root = size.join(best, F.col("pivot") == F.col("node"), "left").select("pivot", F.when(F.col("best.c") > F.col("c"), F.col("best.pivot")).otherwise(F.col("pivot")).alias("root"))
+    root, _ = small_enough(work.save(root, "roots"))
+    names, _ = small_enough(size.select("pivot", "pivot_n"))
+    rows = members.join(root, "pivot").select(F.col("root").alias("pivot"), "node", "n").where("pivot <> node").distinct()
+    return rows.join(names, "pivot").select("pivot", "pivot_n", "node", "n")
+
+
 def _differences(members: DataFrame, sets: DataFrame, percent: int, work: Workspace) -> DataFrame:
-    """members(pivot, pivot_n, node, n) with what either set has alone (diff), and whether they are linked."""
+    """members(pivot, pivot_n, node, n) with what the node has and the pivot has not (more), the other way round (less),
+    and whether they are linked."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            diffs, linked = [], []
+            more, less, linked = [], [], []
             for p, v in zip(batch.column(4), batch.column(5), strict=True):
                 p, v = p.values.to_numpy(), v.values.to_numpy()
-                diff = np.setxor1d(p, v, assume_unique=True)
-                joint = (len(p) + len(v) - len(diff)) // 2
-                diffs.append(diff)
+                more.append(np.setdiff1d(v, p, assume_unique=True))
+                less.append(np.setdiff1d(p, v, assume_unique=True))
+                joint = len(v) - len(more[-1])
                 linked.append(100 * joint >= percent * (len(p) + len(v) - joint))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(linked, pa.bool_()), pa.array(diffs, pa.list_(pa.int64()))], names=["pivot", "pivot_n", "node", "n", "linked", "diff"])
+            made = [pa.array(linked, pa.bool_()), pa.array(more, pa.list_(pa.int64())), pa.array(less, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *made], names=["pivot", "pivot_n", "node", "n", "linked", "more", "less"])
 
     both = _with_sets(members.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "pivot_n", "n"), sets, work)
-    return both.select("a", "pivot_n", "b", "n", "set_a", "set_b").mapInArrow(tidy(run, "minhash", _WordHashes), "pivot binary, pivot_n long, node binary, n long, linked boolean, diff array<long>")
+    ddl = "pivot binary, pivot_n long, node binary, n long, linked boolean, more array<long>, less array<long>"
+    return both.select("a", "pivot_n", "b", "n", "set_a", "set_b").mapInArrow(tidy(run, "minhash", _WordHashes), ddl)
 
 
 def _partnered(diffs: DataFrame, labels: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """The rows of diffs that may have a link to another component of their group, with what they share.
 
-    Adds mark, shared (the elements of diff that another component's diff holds, rarest
-    first), a = S |diff| - P n and t = 2 S |shared| - a, where S = 100 + percent and
-    P = 100 - percent. Two sets are linked if S times what they differ in is at most P
-    times the sum of their sizes, and they differ in what their diffs differ in. So for
-    linked u and v of different components 2 S |diff u & diff v| >= a(u) + a(v), which no
-    more than min(|shared|) elements can give: a(u) <= t(v) and a(v) <= t(u). Nodes that are
-    linked with the pivot are in one component, so they need a partner that is not. The
-    test is made by bins of a, which only lets more through.
+    The difference of a node to the pivot is what it has more and what it has less. Adds
+    mark, size (of the difference), shared (its elements that another component's
+    difference may hold), a = S size - P n and t = 2 S |shared| - a, where
+    S = 100 + percent and P = 100 - percent. Two sets are linked if S times what they
+    differ in is at most P times the sum of their sizes, and they differ in what their
+    differences differ in. So linked u and v of different components have
+    2 S |shared u & shared v| >= a(u) + a(v), which no more than min(|shared|) elements can
+    give: a(u) <= t(v) and a(v) <= t(u). Nodes that are linked with the pivot are in one
+    component, so they need a partner that is not. The test is made by bins of a, which
+    only lets more through.
+
+    Which elements others share is looked up for what a node has more. What it has less is a
+    part of the pivot's set that others often lack too: all of it counts as shared, and
+    comes after the rest in an order that is the same for all nodes.
     """
-    each = _marked(diffs.select("pivot", "node", "diff"), labels).select("pivot", "node", "mark", F.explode("diff").alias("e"))
+    marked = _marked(diffs, labels)
+    each = marked.select("pivot", "node", "mark", F.explode("more").alias("e"))
     common = each.groupBy("pivot", "e").agg(F.min("mark").alias("m0"), F.max("mark").alias("m1"), F.count("*").alias("c")).where("m0 <> m1").select("pivot", "e", "c")
     common = work.save(common, "common")
-    held = each.join(common, ["pivot", "e"]).groupBy("pivot", "node").agg(F.first("mark").alias("mark"), F.sort_array(F.collect_list(F.struct("c", "e"))).alias("shared"))
-    both = diffs.join(held, ["pivot", "node"])
-    both = both.withColumn("a", F.expr(f"{100 + percent} * size(diff) - {100 - percent} * n")).withColumn("t", F.expr(f"{2 * (100 + percent)} * size(shared) - a"))
+    held = each.join(common, ["pivot", "e"]).groupBy("pivot", "node").agg(F.sort_array(F.collect_list(F.struct("c", "e"))).alias("found"))
+    both = marked.join(held, ["pivot", "node"], "left")
+    both = both.withColumn("shared", F.expr("concat(coalesce(transform(found, x -> x.e), array()), less)")).drop("found")
+    both = both.withColumn("size", F.expr("size(more) + size(less)"))
+    both = both.withColumn("a", F.expr(f"{100 + percent} * size - {100 - percent} * n")).withColumn("t", F.expr(f"{2 * (100 + percent)} * size(shared) - a"))
     rows = work.save(both, "shared-diffs")
 
     def may_meet(asking: DataFrame, others: DataFrame) -> DataFrame:
@@ -319,36 +342,42 @@ def _partnered(diffs: DataFrame, labels: DataFrame, percent: int, work: Workspac
 
 
 def _with_parity(rows: DataFrame) -> DataFrame:
-    """rows with own (elements of diff that no other component has) and PARITY bit sets of the parity of shared by bit.
+    """rows with own (elements of the difference that no other component has) and PARITY bit sets of the parity of shared by bit.
 
     Every element that only one of two nodes shares flips one bit, so they differ in at
     least as many elements as bits, besides their own.
     """
     bits = (
-        F.expr(f"aggregate(shared, 0L, (x, s) -> if(pmod(s.e, {PARITY}) = {i}, x ^ shiftleft(1L, int(pmod(s.e div {PARITY}, 64))), x))").alias(f"p{i}") for i in range(PARITY)
+        F.expr(f"aggregate(shared, 0L, (x, e) -> if(pmod(e, {PARITY}) = {i}, x ^ shiftleft(1L, int(pmod(e div {PARITY}, 64))), x))").alias(f"p{i}") for i in range(PARITY)
     )
-    return rows.select("*", F.expr("size(diff) - size(shared)").alias("own"), *bits)
+    return rows.select("*", F.expr("size - size(shared)").alias("own"), *bits)
 
 
 def _across_large(members: DataFrame, sets: DataFrame, labels: DataFrame, edges: DataFrame, percent: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """(verified pairs, pairs to verify) across components among members(pivot, pivot_n, node, n) of large groups.
 
-    Nodes that cannot have a link by _partnered() go. Those that are not linked with the
-    pivot then meet in buckets by minhashes of what they share, each against one node of
-    the bucket, which joins families other than the pivot's. With the components of that,
-    _partnered() looks again, twice, as with each node that goes others share less; the
-    remaining ones are looked up by the rarest of what they share, and tested by parity. For u not linked with the
-    pivot and v any node, linked u and v have more than half of diff v in common (less a
-    term for the sizes), so that by the usual prefix argument a few of its elements will do.
+    Groups are merged, and every node is compared with its group's pivot. Nodes that cannot
+    have a link by _partnered() go. Those that are not linked with the pivot then meet in
+    buckets by minhashes of what they share, each against one node of the bucket, which
+    joins families other than the pivot's. With the components of that, _partnered() looks
+    again, twice, as with each node that goes others share less; the remaining ones are
+    looked up by the first of what they share, and tested by parity. For u not linked with
+    the pivot and v any node, linked u and v have more than half of v's difference in common
+    (less a term for the sizes), so that by the usual prefix argument a few of its elements
+    will do.
     """
-    diffs = work.save(_differences(members, sets, percent, work), "differences")
+    diffs = work.save(_differences(_merged(members, work), sets, percent, work), "differences")
+    direct = diffs.where("linked").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    edges = edges.union(direct)
+    if not direct.isEmpty():
+        labels = components(edges, work)
     left = _partnered(diffs, labels, percent, work)
     fits = f"least({{0}}, {{1}}) * 100 >= greatest({{0}}, {{1}}) * {percent}"
     bits = " + ".join(f"bit_count({{0}}.p{i} ^ {{1}}.p{i})" for i in range(PARITY))
     few = f"{100 + percent} * ({{0}}.own + {{1}}.own + {bits}) <= {100 - percent} * ({{0}}.n + {{1}}.n)"
     meet = "{0}.a <= {1}.t and {1}.a <= {0}.t and {0}.mark <> {1}.mark and " + fits.format("{0}.n", "{1}.n") + " and " + few
     narrow = ["node", "n", "mark", "a", "t", "own", *(f"p{i}" for i in range(PARITY))]
-    least = F.array(*(F.struct(F.lit(i).alias("i"), F.expr(f"array_min(transform(shared, s -> xxhash64(s.e, {i})))").alias("h")) for i in range(4)))
+    least = F.array(*(F.struct(F.lit(i).alias("i"), F.expr(f"array_min(transform(shared, e -> xxhash64(e, {i})))").alias("h")) for i in range(4)))
     met = work.save(_with_parity(left.where("not linked")).select("pivot", *narrow, F.size("shared").alias("held"), F.explode(least).alias("key")), "met")
     hubs = met.groupBy("pivot", "key").agg(F.max(F.struct("held", *narrow)).alias("hub")).select("pivot", "key", "hub.*")
     hubs, _ = small_enough(work.save(hubs, "hubs"))
@@ -358,16 +387,16 @@ def _across_large(members: DataFrame, sets: DataFrame, labels: DataFrame, edges:
     if not found.isEmpty():
         labels = components(edges.union(found), work)
     for _ in range(2):
-        left = _partnered(left.select("pivot", "pivot_n", "node", "n", "linked", "diff"), labels, percent, work)
-    need = f"int(({100 + percent} * size(diff) + {100 - percent} * (pivot_n - n)) div {2 * (100 + percent)}) + 1"
+        left = _partnered(left.select(*diffs.columns), labels, percent, work)
+    need = f"int(({100 + percent} * size + {100 - percent} * (pivot_n - n)) div {2 * (100 + percent)}) + 1"
     left = work.save(_with_parity(left), "left")
     front = left.withColumn("front", F.expr(f"slice(shared, 1, greatest(0, size(shared) - greatest(1, {need}) + 1))"))
-    v, w = (work.save(front.where(test).select("pivot", *narrow, F.explode("front.e").alias("e")), "front") for test in ("linked", "not linked"))
-    u = left.where("not linked").select("pivot", *narrow, F.explode("shared.e").alias("e"))
+    v, w = (work.save(front.where(test).select("pivot", *narrow, F.explode("front").alias("e")), "front") for test in ("linked", "not linked"))
+    u = left.where("not linked").select("pivot", *narrow, F.explode("shared").alias("e"))
     one = v.alias("v").join(u.alias("u"), F.expr("v.pivot = u.pivot and v.e = u.e and " + meet.format("u", "v"))).select(F.least("v.node", "u.node").alias("a"), F.greatest("v.node", "u.node").alias("b"))
     two = w.alias("v").join(w.alias("u"), F.expr("v.pivot = u.pivot and v.e = u.e and v.node < u.node and " + meet.format("u", "v"))).select(F.col("v.node").alias("a"), F.col("u.node").alias("b"))
     done = again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found, one.union(two).distinct().join(done, ["a", "b"], "left_anti")
+    return direct.union(found), one.union(two).distinct().join(done, ["a", "b"], "left_anti")
 
 
 def _with_components(docs: DataFrame, work: Workspace, *options: int) -> tuple[DataFrame, DataFrame]:
@@ -385,9 +414,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     label = work.save(first.join(label, "node"), "first")
     least = work.save(label.groupBy("label").agg(F.min("first").alias("component_id")), "components")
     nodes = work.save(label.join(least, "label").select("node", "component_id"), "by-node")
-    out = base.select("doc_id", "n_shingles", "node").join(nodes, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    own = base.select("doc_id", "n_shingles", "node")
+    out = join_spread(own.where("node is not null"), nodes, "node", "doc_id", work).select("doc_id", "n_shingles", "component_id")
+    out = out.union(own.where("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return work.finish(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS) -> DataFrame:
@@ -395,20 +425,20 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, ro
     work = Workspace(docs.sparkSession, "kept")
     base, label = _with_components(docs, work, shingle, percent, rows)
     rows = base.where("node is not null").groupBy("node", "doc_id", "digest").agg(F.count("*").alias("times"))
-    rows = work.save(rows.join(label, "node").select("label", "doc_id", "digest", "times"), "rows")
+    rows = work.save(join_spread(work.save(rows, "rows"), label, "node", "doc_id", work).select("label", "doc_id", "digest", "times"), "labelled-rows")
     best = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id"), F.col("digest"))).alias("best"))
     best = work.save(best.select("label", F.col("best.doc_id").alias("best_id"), F.col("best.digest").alias("best_digest")), "best")
     same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("digest") == F.col("best_digest"))
-    told = rows.join(best, "label").where(~same | (F.col("times") > 1))
+    told = join_spread(rows, best, "label", "doc_id", work).where(~same | (F.col("times") > 1))
     key, print_, repeated = free_names(docs, "key", "digest", "repeated")
     told = work.save(told.select(F.col("doc_id").alias(key), F.col("digest").alias(print_), same.alias(repeated)), "told")
     told, _ = small_enough(told)
     row = F.col("doc_id").eqNullSafe(F.col(key)) & (_text_digest() == F.col(print_))
     left = docs.join(told, row, "left").where(F.col(repeated).isNull() | F.col(repeated))
     if told.where(F.col(repeated)).isEmpty():
-        return left.select(*map(_quoted, docs.columns))
+        return work.finish(left.select(*map(_quoted, docs.columns)))
     once = left.where(F.col(repeated)).dropDuplicates([key, print_])
-    return left.where(F.col(repeated).isNull()).unionByName(once).select(*map(_quoted, docs.columns))
+    return work.finish(left.where(F.col(repeated).isNull()).unionByName(once).select(*map(_quoted, docs.columns)))
 
 
 def _quoted(name: str) -> Column:

@@ -151,7 +151,7 @@ def top_k(rows: DataFrame, is_query: str, k: int = 5, vector: str = "embedding",
         known = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("least", nowhere))
         away = known.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").select("query_id", "v", "shard", "block", "floor")
         first = first.unionByName(search(away, every))
-    return first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return work.finish(first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
 ORACLE = f"""
