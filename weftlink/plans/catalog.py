@@ -198,8 +198,8 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("label").alias("grp"), F.col("embedding").alias("vec"))
 
 
-def _knn_sql(queries: str, base: str, k: int) -> str:
-    return f"""WITH p AS (SELECT q.vec_id AS query_id, b.vec_id AS base_id, list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings q JOIN embeddings b ON q.label = b.label AND {queries} AND {base}),
+def _knn_sql(queries: str, base: str, k: int, group: str = "q.label = b.label") -> str:
+    return f"""WITH p AS (SELECT q.vec_id AS query_id, b.vec_id AS base_id, list_inner_product(q.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim FROM embeddings q JOIN embeddings b ON {group} AND {queries} AND {base}),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, base_id) - 1 AS rank FROM p) SELECT query_id, base_id, round(sim, 4) AS sim, rank::INT AS rank FROM r WHERE rank < {k}"""
 
 
@@ -215,10 +215,10 @@ def knn_reverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.exact(v.where("id % 3 <> 0"), v.where("id % 3 = 0"), 3).withColumn("sim", F.round("sim", 4))
 
 
-@query()
+@query(_knn_sql("q.vec_id % 3 = 0", "b.vec_id % 3 <> 0", 20, "true"))
 def knn_inverted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vectors(spark, sf_dir)
-    return neighbours.inverted(v.where("id % 3 = 0").withColumn("grp", F.lit(0)), v.where("id % 3 <> 0").withColumn("grp", F.lit(0)), 20)
+    return neighbours.inverted(v.where("id % 3 = 0").withColumn("grp", F.lit(0)), v.where("id % 3 <> 0").withColumn("grp", F.lit(0)), 20).withColumn("sim", F.round("sim", 4))
 
 
 @query()
