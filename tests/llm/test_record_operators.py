@@ -216,6 +216,27 @@ def test_matches_without_a_common_bigram_are_found(spark):
     assert found == {k: k // 10 * 10 for k in prints} | {500: 500, 501: 500, 600: 600, 601: 600}
 
 
+@pytest.mark.parametrize("rare, long", [(4, 1024), (0, 1024), (10**6, 1024), (0, 0)])
+def test_every_pair_that_matches_meets(spark, monkeypatch, rare, long):
+    """By rare codes, by keys of common codes or by the codes of long recordings: each way alone, and all together."""
+    monkeypatch.setattr(chroma, "RARE", rare)
+    monkeypatch.setattr(chroma, "LONG", long)
+    rng = np.random.default_rng(12)
+    prints = {}
+    for i in range(24):  # few different codes, so most are common; copies differ by a shift and by one bit in most places
+        x = rng.choice(1 << 20, 40, replace=False)[rng.integers(0, 40, int(rng.integers(30, 90)))]
+        y = x[int(rng.integers(0, 9)) :].copy()
+        away = rng.permutation(len(y))[: int(rng.integers(len(y) - 9, len(y) - 4))]
+        y[away] ^= 1 << rng.integers(0, 20, len(away))
+        prints[10 * i], prints[10 * i + 1] = x, y
+    schema = "node long, codes array<long>"
+    reps = spark.createDataFrame([(k, c.tolist()) for k, c in prints.items()], schema)
+    none = spark.createDataFrame([], "node long, label long")
+    found = {(r.a, r.b) for r in chroma._sharing(reps, none, chroma.Workspace(spark, "meet")).collect()}
+    near = {(a, b) for a in prints for b in prints if a < b and chroma.matches(prints[a], prints[b])}
+    assert len(near) >= 12 and near <= found
+
+
 def test_votes_equal_direct_counts(monkeypatch):
     rng = np.random.default_rng(9)
     x, y = rng.integers(0, 40, 700), rng.integers(0, 40, 300)

@@ -11,8 +11,8 @@ codes) and component_id (least id among all that alignments connect). Null or to
 audio has no codes and is a component of its own, as are null ids. Every pair that matches()
 accepts is in one component: recordings that share one of KEYS bigrams of codes are compared
 with the least of them first, which only saves work; then all pairs still in different
-components that have MIN_VOTES codes in common, every code of every recording counted, are
-aligned. Repeated rows are copies. Other columns are not read.
+components that can have MIN_VOTES votes at one offset, by every code of every recording,
+are aligned. Repeated rows are copies. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +33,12 @@ KEYS = 24
 MIN_VOTES = 6
 MAX_ERROR = 0.2
 MIN_OVERLAP = 24
-#: Recordings with a code from which its join is salted, and votes counted at a time.
+#: Occurrences up to which a code is rare, and classes of common codes: MIN_VOTES votes hold 2 of rare codes or CLASSES + 1 of common ones.
+RARE = 4
+CLASSES = MIN_VOTES - 2
+#: Places of common codes from which a recording has no vote keys, but meets others by its codes.
+LONG = 1024
+#: Recordings with a code or key from which its join is salted, and votes counted at a time.
 HOT_CODE = 1000
 SALTS = 16
 VOTES = 1 << 22
@@ -214,37 +219,105 @@ def _aligned(pairs: DataFrame, prints: DataFrame) -> DataFrame:
 
 
 def _postings(reps: DataFrame) -> DataFrame:
-    """Every code of every recording, with the times it occurs there."""
+    """Every code of every recording, with its place there."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            found = [np.unique(c.values.to_numpy(), return_counts=True) for c in batch.column(1)]
-            node = np.repeat(batch.column(0).to_numpy(), [len(v) for v, _ in found])
-            code, times = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(code, pa.int64()), pa.array(times, pa.int64())], names=["node", "code", "times"])
+            found = [c.values.to_numpy() for c in batch.column(1)]
+            node = np.repeat(batch.column(0).to_numpy(), [len(c) for c in found])
+            code, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found, [np.arange(len(c)) for c in found]))
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(code, pa.int64()), pa.array(place, pa.int32())], names=["node", "code", "place"])
 
-    return reps.select("node", "codes").mapInArrow(run, "node long, code long, times long")
+    return reps.select("node", "codes").mapInArrow(run, "node long, code long, place int")
 
 
-def _sharing(reps: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
-    """Pairs (a, b) of different components with MIN_VOTES codes in common, without which no offset has as many votes.
+def vote_keys(code: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Distinct hashes of (code, later code, gap) of all two places whose codes are of one of CLASSES classes.
+
+    Of CLASSES + 1 places where two recordings agree at one offset, two are of one class, so both have their hash.
+    """
+    mixed = code.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> _U(29)
+    kind, out = mixed % _U(CLASSES), []
+    for k in range(CLASSES):
+        at = np.flatnonzero(kind == k)
+        i, j = (at[x] for x in np.triu_indices(len(at), 1))
+        key = (mixed[i] * _U(0xC2B2AE3D27D4EB4F) + mixed[j]) * _U(0xBF58476D1CE4E5B9) + (place[j] - place[i]).astype(np.uint64)
+        out.append(np.unique((key ^ (key >> _U(32))) * _U(0x94D049BB133111EB)))
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
+def _keyed(held: DataFrame) -> DataFrame:
+    """vote_keys() of every (node, comp, found), found being an array of (place, code) in order."""
+
+    def run(batches):
+        import pyarrow as pa
 
-    At one offset a code has no more votes than the rarer of its counts in the two
-    recordings, so no pair that matches is left out.
+        for batch in batches:
+            nodes, comps, made = [], [], []
+            for row in range(batch.num_rows):
+                found = batch.column(2)[row].values
+                made.append(vote_keys(found.field(1).to_numpy(), found.field(0).to_numpy().astype(np.int64)))
+                nodes.append(batch.column(0)[row].as_py())
+                comps.append(batch.column(1)[row].as_py())
+                if row + 1 == batch.num_rows or sum(map(len, made)) > VOTES // 8:
+                    size = [len(m) for m in made]
+                    columns = [np.repeat(np.array(nodes, np.int64), size), np.repeat(np.array(comps, np.int64), size), np.concatenate(made)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "comp", "key"])
+                    nodes, comps, made = [], [], []
+
+    return held.select("node", "comp", "found").mapInArrow(run, "node long, comp long, key long")
+
+
+def _meet(left: DataFrame, right: DataFrame, key: str, on: str) -> DataFrame:
+    """Rows x of left and y of right with one key that hold `on`; a key marked hot is dealt over SALTS tasks."""
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    x, y = left.withColumn("salt", salt).alias("x"), right.withColumn("salt", every).alias("y")
+    return x.join(y, F.expr(f"x.{key} = y.{key} and x.salt = y.salt and x.comp <> y.comp and {on}"))
+
+
+def _sharing(reps: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs (a, b) of different components that may have MIN_VOTES votes at one offset; no pair that has them is left out.
+
+    A rare code occurs at most RARE times in all recordings. A pair with two votes of rare
+    codes at one offset meets by these. Any other pair with MIN_VOTES votes has at least
+    CLASSES + 1 of common codes, hence one of the vote_keys() of its common codes, which,
+    unlike the codes, unrelated recordings hardly ever share. Recordings with more than LONG
+    places of common codes, whose keys would grow with the square of that, meet others by
+    the codes: at one offset a code has no more votes than the rarer of its two counts.
+    So rows grow with the codes (rare ones make at most RARE / 2 pairs a code) and the keys.
     """
-    posts = _postings(reps).join(labels, "node", "left").select("node", "code", "times", F.coalesce("label", "node").alias("comp"))
+    posts = _postings(reps).join(labels, "node", "left").select("node", "code", "place", F.coalesce("label", "node").alias("comp"))
     posts = work.save(posts, "postings")
     shared = posts.groupBy("code").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c")).where("c0 <> c1")
-    shared = work.save(shared.select("code", (F.col("c") > HOT_CODE).alias("hot")), "shared")
+    shared = work.save(shared.select("code", (F.col("c") <= RARE).alias("rare")), "shared")
     rest = work.save(posts.join(shared, "code"), "rest")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)
-    every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    x, y = rest.withColumn("salt", salt).alias("x"), rest.withColumn("salt", every).alias("y")
-    met = x.join(y, F.expr("x.code = y.code and x.salt = y.salt and x.comp <> y.comp and x.node < y.node"))
-    votes = met.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.sum(F.least("x.times", "y.times")).alias("votes"))
-    return votes.where(F.col("votes") >= MIN_VOTES).select("a", "b")
+    work.drop(posts)
+    rare = rest.where("rare").withColumn("hot", F.lit(False))
+    votes = _meet(rare, rare, "code", "x.node < y.node").groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.expr("x.place - y.place").alias("offset")).agg(F.count("*").alias("c"))
+    pairs = work.save(votes.where("c >= 2").select("a", "b"), "by-rare-codes")
+
+    common = rest.where("not rare")
+    held = common.groupBy("node", "comp").agg(F.sort_array(F.collect_list(F.struct("place", "code"))).alias("found")).where(F.size("found") > CLASSES)
+    held = work.save(held, "common")
+    keys = work.save(_keyed(held.where(F.size("found") <= LONG)), "vote-keys")
+    both = keys.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c")).where("c0 <> c1")
+    met = work.save(keys.join(both.select("key", (F.col("c") > HOT_CODE).alias("hot")), "key"), "shared-keys")
+    by_keys = _meet(met, met, "key", "x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    pairs = pairs.union(work.save(by_keys.distinct(), "by-keys"))
+
+    long = held.where(F.size("found") > LONG).select("node")
+    if not long.isEmpty():
+        times = common.groupBy("node", "comp", "code").agg(F.count("*").alias("times"))
+        hot = times.groupBy("code").agg((F.count("*") > HOT_CODE).alias("hot"))
+        times = work.save(times.join(hot, "code"), "times")
+        votes = _meet(times, times.join(long, "node", "left_semi"), "code", "true").groupBy(F.col("x.node").alias("x"), F.col("y.node").alias("y")).agg(F.sum(F.least("x.times", "y.times")).alias("votes"))
+        votes = votes.where(F.col("votes") > CLASSES).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = pairs.union(work.save(votes.distinct(), "by-long"))
+    return pairs.distinct()
 
 
 def cluster(prints: DataFrame) -> DataFrame:
