@@ -9,7 +9,7 @@ from weftlink.functions import lexicon as lx
 from weftlink.functions import similarity as sim
 from weftlink.functions import text
 from weftlink.operators import blocking, decide, features, metrics, model, neighbours, split, tfidf, validate
-from weftlink.plans import pipeline, surrogate
+from weftlink.plans import kernels, pipeline, surrogate
 from weftlink.sources import tables
 from weftlink.sources.staging import staged
 
@@ -54,10 +54,11 @@ _NAMES_SQL = f"""names0 AS (
 ), names AS (
     SELECT entity_id, is_domain, name_alt, array_to_string(w, ' ') AS name_norm,
         array_to_string(list_filter(w, lambda t: NOT list_contains({_list(lx.LEGAL_CODES)}, t)), ' ') AS core,
-        array_to_string(list_sort(list_distinct(list_filter(w, lambda t: list_contains({_list(lx.LEGAL_CODES)}, t)))), ' ') AS legal_forms, w
+        array_to_string(list_sort(list_distinct(list_filter(w, lambda t: list_contains({_list(lx.LEGAL_CODES)}, t)))), ' ') AS legal_forms,
+        coalesce(nullif(list_filter(w, lambda t: NOT list_contains({_list(lx.LEGAL_CODES)}, t))[1], ''), w[1], '') AS first_token
     FROM names3
 ), named AS (
-    SELECT entity_id, is_domain, name_alt, name_norm, CASE WHEN core = '' THEN name_norm ELSE core END AS name_core, legal_forms FROM names
+    SELECT entity_id, is_domain, name_alt, name_norm, CASE WHEN core = '' THEN name_norm ELSE core END AS name_core, legal_forms, first_token FROM names
 )"""
 _STATES = {"US": lx.US_STATES, "India": lx.INDIA_STATES}
 _ABBR = "CASE country " + " ".join(f"WHEN '{c}' THEN coalesce({_map(t)}[t], t)" for c, t in lx.ADDRESS_WORDS.items()) + " ELSE t END"
@@ -82,7 +83,8 @@ _ADDR_SQL = f"""addr0 AS (
 ), addressed AS (
     SELECT entity_id, pincode, state_code, landmark, array_to_string(t, ' ') AS addr_norm, array_to_string(list_filter(t, lambda x: NOT regexp_full_match(x, '[0-9]+')), ' ') AS addr_core,
         array_to_string(list_sort(list_distinct(list_filter(t, lambda x: regexp_full_match(x, '[0-9]+')))), ' ') AS numeric_tokens,
-        coalesce(list_filter(t, lambda x: regexp_full_match(x, '[0-9]+'))[1], '') AS house_number FROM addr2
+        coalesce(list_filter(t, lambda x: regexp_full_match(x, '[0-9]+'))[1], '') AS house_number,
+        coalesce(list_filter({_list(lx.CITIES.values())}, lambda c: list_contains(t, c))[1], '') AS city FROM addr2
 )"""
 _NORMAL = f"{_WITH}, {_NAMES_SQL}, {_ADDR_SQL}, normal AS (SELECT r.entity_id, r.source, r.country, r.k, r.business_address, n.* EXCLUDE (entity_id), a.* EXCLUDE (entity_id) FROM records r JOIN named n USING (entity_id) JOIN addressed a USING (entity_id))"
 
@@ -94,13 +96,13 @@ def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scalar normalization ---------------------------------------------------------------------------
 
 
-@query(f"{_WITH}, {_NAMES_SQL} SELECT * FROM named")
+@query(f"{_WITH}, {_NAMES_SQL} SELECT * EXCLUDE (first_token) FROM named")
 def name_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = text.with_names(surrogate.records(spark, sf_dir))
     return rows.select("entity_id", "is_domain", "name_alt", "name_norm", "name_core", F.array_join("legal_forms", " ").alias("legal_forms"))
 
 
-@query(f"{_WITH}, {_ADDR_SQL} SELECT * FROM addressed")
+@query(f"{_WITH}, {_ADDR_SQL} SELECT * EXCLUDE (city) FROM addressed")
 def address_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = text.with_addresses(surrogate.records(spark, sf_dir))
     return rows.select("entity_id", "pincode", "state_code", "landmark", "addr_norm", "addr_core", F.array_join("numeric_tokens", " ").alias("numeric_tokens"), "house_number")
@@ -116,12 +118,12 @@ def unicode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", text.folded(F.col("text")).alias("folded"))
 
 
-@query()
+@query(f"{_WITH}, {_NAMES_SQL} SELECT entity_id, first_token, {kernels.sound_key('first_token')} AS metaphone_key FROM named")
 def sound_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.with_names(surrogate.records(spark, sf_dir)).select("entity_id", "first_token", "metaphone_key")
 
 
-@query()
+@query(f"{_NORMAL} SELECT entity_id, trim(name_core || ' | ' || addr_core) AS embed_text, '' AS embed_text_native, '' AS native_name, '' AS native_addr, city FROM normal")
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _normal(spark, sf_dir).select("entity_id", "embed_text", "embed_text_native", "native_name", "native_addr", "city")
 
@@ -155,25 +157,26 @@ def _words_sql(column: str) -> str:
     return f"list_distinct(list_filter(string_split({column}, ' '), lambda t: t <> ''))"
 
 
-_HOUSE_SQL = f"""hb AS (
-    SELECT entity_id, source, country, state_code || '|' || house_number AS key, addr_norm,
-        row_number() OVER (PARTITION BY country, source, state_code || '|' || house_number ORDER BY md5('1:' || entity_id), entity_id) AS n
-    FROM normal WHERE source <> 'S1' AND house_number <> ''
-), hc AS (SELECT *, count(*) OVER (PARTITION BY country, source, key) AS size FROM hb WHERE n <= 500),
-hp AS (
-    SELECT s.entity_id AS s1_entity_id, c.entity_id AS cand_entity_id, c.source, c.country, c.size, {_JACCARD.format(a=_words_sql('s.addr_norm'), b=_words_sql('c.addr_norm'))} AS score
-    FROM normal s JOIN hc c ON s.source = 'S1' AND s.house_number <> '' AND s.country = c.country AND s.state_code || '|' || s.house_number = c.key
-), house AS (
-    SELECT s1_entity_id, cand_entity_id, source, country FROM (SELECT *, row_number() OVER (PARTITION BY s1_entity_id, source, size > 3 ORDER BY score DESC, cand_entity_id) AS r FROM hp) WHERE size <= 3 OR r <= 3
-)"""
+def _bucket_sql(name: str, key: str, where: str, compare: str, seed: int) -> str:
+    return f"""{name}0 AS (SELECT *, {key} AS key, {compare} AS compared FROM normal WHERE {where}),
+{name}1 AS (SELECT *, row_number() OVER (PARTITION BY country, source, key ORDER BY md5('{seed}:' || entity_id), entity_id) AS n FROM {name}0 WHERE source <> 'S1'),
+{name}2 AS (SELECT *, count(*) OVER (PARTITION BY country, source, key) AS size FROM {name}1 WHERE n <= 500),
+{name}3 AS (SELECT s.entity_id AS s1_entity_id, c.entity_id AS cand_entity_id, c.source, c.country, c.size, s.compared AS a, c.compared AS b FROM {name}0 s JOIN {name}2 c ON s.source = 'S1' AND s.country = c.country AND s.key = c.key),
+{name}4 AS (SELECT * FROM {name}3 WHERE size > 10), {kernels.ctes(name + "_kernels", name + "4", only_token_set=True)},
+{name} AS (SELECT s1_entity_id, cand_entity_id, source, country FROM {name}3 WHERE size <= 10 UNION ALL
+    SELECT s1_entity_id, cand_entity_id, source, country FROM (SELECT *, row_number() OVER (PARTITION BY s1_entity_id, source ORDER BY token_set DESC, cand_entity_id) AS r FROM {name}4 JOIN {name}_kernels USING (a, b)) WHERE r <= 10)"""
+
+
+_HOUSE_SQL = _bucket_sql("house", "state_code || '|' || house_number", "house_number <> ''", "addr_norm", 1)
+_SOUND_SQL = _bucket_sql("sound", f"state_code || '|' || {kernels.sound_key('first_token')}", "true", "name_core", 0)
 
 
 @query(f"{_NORMAL}, {_HOUSE_SQL} SELECT *, true AS from_housenum FROM house")
 def house_number_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocking.house_number(_normal(spark, sf_dir), k=3, kind="jaccard")
+    return blocking.house_number(_normal(spark, sf_dir))
 
 
-@query()
+@query(f"{_NORMAL}, {_SOUND_SQL} SELECT *, true AS from_phonetic FROM sound")
 def phonetic_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return blocking.phonetic(_normal(spark, sf_dir))
 
@@ -231,7 +234,7 @@ def nearest_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 ) SELECT s1_entity_id, cand_entity_id, source, country, false AS from_ann, false AS from_phonetic, bool_or(from_sn) AS from_sn, bool_or(from_housenum) AS from_housenum, NULL::DOUBLE AS ann_sim, -1 AS ann_rank FROM u GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY s1_entity_id, cand_entity_id, source, country"))
 def candidate_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _normal(spark, sf_dir)
-    return blocking.union_candidates([blocking.house_number(rows, k=3, kind="jaccard"), blocking.sorted_neighbourhood(rows, "sn_key_a"), blocking.sorted_neighbourhood(rows, "sn_key_b")])
+    return blocking.union_candidates([blocking.house_number(rows), blocking.sorted_neighbourhood(rows, "sn_key_a"), blocking.sorted_neighbourhood(rows, "sn_key_b")])
 
 
 @query(f"""{_WITH}, u AS (SELECT s1_entity_id, cand_entity_id, source, country, from_ann, false AS from_phonetic, ann_sim, ann_rank FROM scored WHERE from_ann UNION ALL SELECT s1_entity_id, cand_entity_id, source, country, false, true, NULL, -1 FROM scored WHERE from_phonetic)
@@ -335,10 +338,11 @@ def name_jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("s1_entity_id", "cand_entity_id", F.round(sim.kernels_udf("a_name_core", "b_name_core")["jaro_winkler"], 4).alias("name_jarowinkler"))
 
 
-@query()
+@query(f"""{_NORMAL}, p AS (SELECT s1_entity_id, cand_entity_id, a.name_core AS a, b.name_core AS b {_PAIRED}), {kernels.ctes("k", "p")}
+SELECT s1_entity_id, cand_entity_id, {", ".join(f"round({c}, 6) AS {c}" for c in sim.KERNELS)} FROM p JOIN k USING (a, b)""")
 def string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _pairs(spark, sf_dir, ["name_core"])
-    return rows.withColumn("k", sim.kernels_udf("a_name_core", "b_name_core")).select("s1_entity_id", "cand_entity_id", "k.*")
+    rows = _pairs(spark, sf_dir, ["name_core"]).withColumn("k", sim.kernels_udf("a_name_core", "b_name_core"))
+    return rows.select("s1_entity_id", "cand_entity_id", *(F.round(f"k.{c}", 6).alias(c) for c in sim.KERNELS))
 
 
 @query()
@@ -490,7 +494,7 @@ SELECT k.s1_entity_id AS source1_entity_id, coalesce(string_agg(DISTINCT o.cand_
 def link_minimum_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """House-number blocking, a baseline score, one owner, a threshold, and the list table."""
     rows = _normal(spark, sf_dir)
-    pairs = blocking.house_number(rows, k=3, kind="jaccard")
+    pairs = blocking.house_number(rows)
     left = rows.select(F.col("entity_id").alias("s1_entity_id"), F.col("name_core").alias("a_name"), F.col("addr_norm").alias("a_addr"))
     right = rows.select(F.col("entity_id").alias("cand_entity_id"), F.col("name_core").alias("b_name"), F.col("addr_norm").alias("b_addr"))
     both = pairs.join(left, "s1_entity_id").join(right, "cand_entity_id")
