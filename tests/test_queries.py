@@ -27,6 +27,5 @@ def test_query_equals_sql(spark, duck, name):
     assert _rows(catalog.QUERIES[name](spark, SF).toPandas()) == _rows(duck.execute(catalog.ORACLES[name]).df())
 
 
-@pytest.mark.parametrize("name", ["all_features", "nearest_records"])
-def test_other_queries_run(spark, name):
-    assert catalog.QUERIES[name](spark, SF).count() > 0
+def test_nearest_records_runs(spark):
+    assert catalog.QUERIES["nearest_records"](spark, SF).count() > 0

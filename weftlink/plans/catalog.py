@@ -86,7 +86,7 @@ _ADDR_SQL = f"""addr0 AS (
         coalesce(list_filter(t, lambda x: regexp_full_match(x, '[0-9]+'))[1], '') AS house_number,
         coalesce(list_filter({_list(lx.CITIES.values())}, lambda c: list_contains(t, c))[1], '') AS city FROM addr2
 )"""
-_NORMAL = f"{_WITH}, {_NAMES_SQL}, {_ADDR_SQL}, normal AS (SELECT r.entity_id, r.source, r.country, r.k, r.business_address, n.* EXCLUDE (entity_id), a.* EXCLUDE (entity_id) FROM records r JOIN named n USING (entity_id) JOIN addressed a USING (entity_id))"
+_NORMAL = f"{_WITH}, {_NAMES_SQL}, {_ADDR_SQL}, normal AS (SELECT r.entity_id, r.source, r.country, r.k, r.business_name, r.business_address, n.* EXCLUDE (entity_id), a.* EXCLUDE (entity_id) FROM records r JOIN named n USING (entity_id) JOIN addressed a USING (entity_id))"
 
 
 def _normal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,10 +345,44 @@ def string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("s1_entity_id", "cand_entity_id", *(F.round(f"k.{c}", 6).alias(c) for c in sim.KERNELS))
 
 
-@query()
+def _feature_sql() -> str:
+    """The features of every scored pair, each by its own expression."""
+    both = lambda name: f"{_JACCARD.format(a=_words_sql('a.' + name), b=_words_sql('b.' + name))}"
+    size = lambda c: f"CASE WHEN greatest(length(a.{c}), length(b.{c})) = 0 THEN 0.0 ELSE least(length(a.{c}), length(b.{c}))::DOUBLE / greatest(length(a.{c}), length(b.{c})) END"
+    foreign = lambda c: f"regexp_matches({c}.business_name, '[^\\x00-\\x7F]')"
+    legal = lambda test: f"(a.legal_forms <> '' AND b.legal_forms <> '' AND a.legal_forms {test} b.legal_forms)::INT"
+    made = {
+        "name_lev": "kn.ratio", "name_jarowinkler": "kn.jaro_winkler", "name_token_set": "kn.token_set", "name_token_sort": "kn.token_sort", "name_partial": "kn.partial",
+        "name_exact_core": "(a.name_core = b.name_core)::INT", "name_exact_norm": "(a.name_norm = b.name_norm)::INT",
+        "name_first_token_match": "(string_split(a.name_core, ' ')[1] = string_split(b.name_core, ' ')[1])::INT", "name_token_jaccard": both("name_core"),
+        "legal_form_match": legal("="), "legal_form_conflict": legal("<>"), "legal_form_missing": "(a.legal_forms = '' OR b.legal_forms = '')::INT",
+        "either_is_domain": "(a.is_domain OR b.is_domain)::INT", "either_translit": f"({foreign('a')} OR {foreign('b')})::INT", "name_len_ratio": size("name_core"),
+        "name_alt_token_set": "greatest(kn.token_set, ko.token_set)", "addr_lev": "ka.ratio", "addr_token_set": "ka.token_set",
+        "addr_token_jaccard": both("addr_core"), "addr_numeric_jaccard": both("numeric_tokens"),
+        "landmark_overlap": f"CASE WHEN a.landmark = '' AND b.landmark = '' THEN -1.0 ELSE {both('landmark')} END",
+        "addr_empty_a": "(coalesce(a.business_address, '') = '')::INT", "addr_empty_b": "(coalesce(b.business_address, '') = '')::INT", "addr_len_ratio": size("addr_core"),
+        "country_match": "(a.country IS NOT DISTINCT FROM b.country)::INT", "source_is_s2": "(p.source = 'S2')::INT", "ann_sim": "coalesce(p.ann_sim, -1.0)", "ann_rank": "coalesce(p.ann_rank, -1)",
+        "tfidf_sim": "coalesce(p.tfidf_sim, 0.0)", "n_competitors": "count(*) OVER c", "rank_for_cand": "(row_number() OVER (c ORDER BY p.v DESC, s1_entity_id))::INT", "gap_to_best_for_cand": "max(p.v) OVER c - p.v",
+        "rank_for_s1": "(row_number() OVER (o ORDER BY p.v DESC, p.source, cand_entity_id))::INT", "gap_to_best_for_s1": "max(p.v) OVER o - p.v",
+    }
+    columns = [f"{e} AS {n}" for n, e in made.items()] + [f"p.{f}::INT AS {f}" for f in blocking.FLAGS] + [_flag_sql(c, n) for c, n in (("house_number", "house_number_match"), ("pincode", "pincode_match"), ("state_code", "state_match"))]
+    texts = "SELECT a.{0} AS a, b.{0} AS b " + _PAIRED + " UNION SELECT CASE WHEN a.name_alt <> '' THEN a.name_alt ELSE a.name_core END, CASE WHEN b.name_alt <> '' THEN b.name_alt ELSE b.name_core END " + _PAIRED + " UNION SELECT a.addr_norm, b.addr_norm " + _PAIRED
+    other = "CASE WHEN {0}.name_alt <> '' THEN {0}.name_alt ELSE {0}.name_core END"
+    double = [n for n in features.FEATURES if n in made and "::INT" not in made[n] and n not in ("n_competitors", "ann_rank")]
+    return f"""{_NORMAL}, t AS ({texts.format("name_core")}), {kernels.ctes("k", "t")}, made AS (
+    SELECT s1_entity_id, cand_entity_id, p.source, p.country, p.calib_proba, {", ".join(columns)} FROM (SELECT *, tfidf_sim + coalesce(ann_sim, 0) AS v FROM scored) p
+    JOIN normal a ON a.entity_id = s1_entity_id JOIN normal b ON b.entity_id = cand_entity_id JOIN k kn ON kn.a = a.name_core AND kn.b = b.name_core
+    JOIN k ka ON ka.a = a.addr_norm AND ka.b = b.addr_norm JOIN k ko ON ko.a = {other.format("a")} AND ko.b = {other.format("b")}
+    WINDOW c AS (PARTITION BY p.source, cand_entity_id), o AS (PARTITION BY s1_entity_id))
+SELECT * REPLACE ({", ".join(f"round({n}, 6) AS {n}" for n in double)}),
+    round(0.4 * name_token_set + 0.35 * addr_token_set + 0.15 * greatest(house_number_match, 0) + 0.1 * country_match, 6) AS baseline_score FROM made"""
+
+
+@query(_feature_sql())
 def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _normal(spark, sf_dir)
-    return features.baseline_score(features.compute(blocking.with_competition(surrogate.scored(spark, sf_dir)), rows))
+    rows = features.baseline_score(features.compute(blocking.with_competition(surrogate.scored(spark, sf_dir)), _normal(spark, sf_dir)))
+    double = {f.name for f in rows.schema if f.dataType.typeName() == "double"}
+    return rows.select(*(F.round(c, 6).alias(c) if c in double and c != "calib_proba" else F.col(c) for c in rows.columns))
 
 
 @query(f"""{_NORMAL} SELECT s1_entity_id, cand_entity_id, round(0.4 * ({_JACCARD.format(a=_words_sql('a.name_core'), b=_words_sql('b.name_core'))}) + 0.35 * ({_JACCARD.format(a=_words_sql('a.addr_norm'), b=_words_sql('b.addr_norm'))})
