@@ -40,13 +40,16 @@ def _list(values) -> str:
 
 
 _SQUEEZE = "trim(regexp_replace(regexp_replace(lower({}), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+_STRIP = "trim(regexp_replace(regexp_replace({}, '\\s*\\|.*$', ''), '[\\[\\]()\\{{\\}}]', ' ', 'g'), '-<>#*~_=+| ')"
+_ALIAS = r"(?:\bdba\b|\bd/b/a\b|\btrading as\b)"
+_FOREIGN = r"'[^\x00-\x7F]'"
 _TOKENS = "list_filter(string_split({}, ' '), lambda t: t <> '')"
 _DOMAIN = r"(?i)\b[\w.-]+\.(com|net|org|in|co\.in|fr|io|biz|info)\b"
 _NAMES_SQL = f"""names0 AS (
-    SELECT entity_id, regexp_matches(replace(business_name, '&', ' and '), '{_DOMAIN}') AS is_domain,
-        regexp_replace(replace(business_name, '&', ' and '), '(?i)\\b([\\w-]*)[\\w.-]*\\.(?:com|net|org|in|co\\.in|fr|io|biz|info)\\b', '\\1', 'g') AS n FROM records
+    SELECT entity_id, regexp_matches(f, '{_DOMAIN}') AS is_domain, regexp_replace(f, '(?i)\\b([\\w-]*)[\\w.-]*\\.(?:com|net|org|in|co\\.in|fr|io|biz|info)\\b', '\\1', 'g') AS n
+    FROM (SELECT entity_id, replace(replace(strip_accents(business_name), 'ß', 'ss'), '&', ' and ') AS f FROM records)
 ), names1 AS (
-    SELECT entity_id, is_domain, {_SQUEEZE.format("regexp_extract(n, '(?i)^(.*?)(?:\\bdba\\b.*)?$', 1)")} AS head, {_SQUEEZE.format("regexp_extract(n, '(?i)\\bdba\\b(.*)$', 1)")} AS name_alt FROM names0
+    SELECT entity_id, is_domain, {_SQUEEZE.format(_STRIP.format(f"regexp_extract(n, '(?i)^(.*?)(?:{_ALIAS}.*)?$', 1)"))} AS head, {_SQUEEZE.format(_STRIP.format(f"regexp_extract(n, '(?i){_ALIAS}(.*)$', 1)"))} AS name_alt FROM names0
 ), names2 AS (
     SELECT *, list_transform(list_filter({_TOKENS.format('head')}, lambda t: NOT list_contains({_list(lx.HONORIFICS)}, t)), lambda t: coalesce({_map(lx.LEGAL_FORMS)}[t], t)) AS w0 FROM names1
 ), names3 AS (
@@ -69,9 +72,12 @@ def _first_state(table: dict[str, str]) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches(lower(a), '\\b{k}\\b') THEN '{v}'" for k, v in rows) + " ELSE '' END"
 
 
+_LANDMARK = f"'(?i)\\b(?:{'|'.join(lx.LANDMARK_WORDS)})\\b\\.?\\s+([^,]+)'"
+_POSTPOSED = r"'(?i)([^,]+?)\s+ke\s+pas\b'"
 _ADDR_SQL = f"""addr0 AS (
-    SELECT entity_id, country, business_address AS raw, coalesce(lower(trim(regexp_extract(business_address, '(?i)\\b(?:{"|".join(lx.LANDMARK_WORDS)})\\b\\.?\\s+([^,]+)', 1))), '') AS landmark,
-        regexp_replace(business_address, '(?i)\\b(?:{"|".join(lx.LANDMARK_WORDS)})\\b\\.?\\s+([^,]+)', ' ') AS a FROM records
+    SELECT entity_id, country, raw, CASE WHEN regexp_matches(r, {_LANDMARK}) THEN lower(trim(regexp_extract(r, {_LANDMARK}, 1))) WHEN regexp_matches(r, {_POSTPOSED}) THEN lower(trim(regexp_extract(r, {_POSTPOSED}, 1))) ELSE '' END AS landmark,
+        CASE WHEN regexp_matches(r, {_LANDMARK}) THEN regexp_replace(r, {_LANDMARK}, ' ') ELSE regexp_replace(r, {_POSTPOSED}, ' ') END AS a
+    FROM (SELECT entity_id, country, business_address AS raw, regexp_replace(business_address, '(?i)\\b(?:city|town|village)\\s+of\\s+', '', 'g') AS r FROM records)
 ), addr1 AS (
     SELECT *, CASE country WHEN 'India' THEN regexp_extract(raw, '(?:^|[^0-9])([1-9][0-9]{{2}}\\s?[0-9]{{3}})(?:[^0-9]|$)', 1) ELSE regexp_extract(raw, '\\b([0-9]{{5}})\\b', 1) END AS pincode,
         CASE country WHEN 'US' THEN {_first_state(lx.US_STATES)} WHEN 'India' THEN {_first_state(lx.INDIA_STATES)}
@@ -123,7 +129,12 @@ def sound_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.with_names(surrogate.records(spark, sf_dir)).select("entity_id", "first_token", "metaphone_key")
 
 
-@query(f"{_NORMAL} SELECT entity_id, trim(name_core || ' | ' || addr_core) AS embed_text, '' AS embed_text_native, '' AS native_name, '' AS native_addr, city FROM normal")
+_NATIVE_SQL = f"""native0 AS (SELECT entity_id, business_name, regexp_replace(replace(business_name, '&', ' and '), '(?i)\\b([\\w-]*)[\\w.-]*\\.(?:com|net|org|in|co\\.in|fr|io|biz|info)\\b', '\\1', 'g') AS n FROM records),
+native AS (SELECT entity_id, CASE WHEN regexp_matches(business_name, {_FOREIGN}) THEN trim(regexp_replace(regexp_replace(lower({_STRIP.format(f"regexp_extract(n, '(?i)^(.*?)(?:{_ALIAS}.*)?$', 1)")}), '[^\\p{{L}}\\p{{N}}\\p{{M}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) ELSE '' END AS native_name FROM native0)"""
+
+
+@query(f"""{_NORMAL}, {_NATIVE_SQL} SELECT entity_id, trim(name_core || ' | ' || addr_core) AS embed_text, CASE WHEN native_name = '' THEN '' ELSE trim(native_name || ' | ' || addr_core) END AS embed_text_native, native_name, '' AS native_addr, city
+FROM normal JOIN native USING (entity_id)""")
 def embed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _normal(spark, sf_dir).select("entity_id", "embed_text", "embed_text_native", "native_name", "native_addr", "city")
 

@@ -40,14 +40,14 @@ SELECT k, 'S1' AS source, 'S1-' || lpad(CAST(k AS STRING), 9, '0') AS entity_id,
 FROM ({_BASE}) b
 UNION ALL
 SELECT k, 'S2', 'S2-' || lpad(CAST(k AS STRING), 9, '0'), country,
-    CASE WHEN k % 4 = 0 THEN clan || ' ' || thing ELSE upper(thing) || ' ' || clan END || {_pick('k % 6', ' Pvt. Ltd.', ' Inc.', ' Co', ' Ltd', ' LLC LLC', ' sarl')}
-        || CASE WHEN k % 10 = 0 THEN ' dba ' || thing || ' store' ELSE '' END,
+    CASE WHEN k % 14 = 0 THEN '## (' || clan || ') ' WHEN k % 38 = 0 THEN 'Café Noël ' ELSE '' END || CASE WHEN k % 4 = 0 THEN clan || ' ' || thing ELSE upper(thing) || ' ' || clan END || {_pick('k % 6', ' Pvt. Ltd.', ' Inc.', ' Co', ' Ltd', ' LLC LLC', ' sarl')}
+        || CASE WHEN k % 10 = 0 THEN ' dba ' || thing || ' store' WHEN k % 22 = 0 THEN ' d/b/a ' || thing || ' depot' WHEN k % 26 = 0 THEN ' Trading As <' || clan || '>' WHEN k % 34 = 0 THEN ' | since 1990' ELSE '' END,
     CASE WHEN k % 8 = 0 THEN 'Near ' || city || ' Mall, ' ELSE '' END || house || ' ' || short_street || ', ' || city || ', ' || state || ' ' || code
 FROM ({_BASE}) b WHERE k % 2 = 0
 UNION ALL
 SELECT k, 'S3', 'S3-' || lpad(CAST(k AS STRING), 9, '0'), country,
     CASE WHEN k % 9 = 0 THEN clan || '.com ' || thing ELSE thing || ' ' || substr(clan, 1, 5) END || {_pick('k % 6', ' pvt', ' Corp', ' company', '', ' llc', ' SAS')},
-    CASE WHEN k % 15 = 0 THEN '' ELSE '00' || house || ' ' || street || ', ' || state END
+    CASE WHEN k % 15 = 0 THEN '' ELSE CASE WHEN k % 9 = 2 THEN 'Town Hall ke pas, ' ELSE '' END || '00' || house || ' ' || street || CASE WHEN k % 12 = 3 THEN ', City of ' || city ELSE '' END || ', ' || state END
 FROM ({_BASE}) b WHERE k % 3 <> 1
 """
 
