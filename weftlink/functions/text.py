@@ -17,6 +17,7 @@ from weftlink.functions import lexicon as lx
 from weftlink.functions.phonetic import metaphone_udf
 
 NON_ASCII = r"[^\x00-\x7F]"
+# Patterns of domains, trade-name markers and landmarks, and Latin letters without a decomposition.
 _DOMAIN_TEST = r"(?i)\b[\w.-]+\.(com|net|org|in|co\.in|fr|io|biz|info)\b"
 TRADE_NAME = r"(?i)\bdba\b|\bd/b/a\b|\btrading as\b"
 LANDMARK = r"(?i)\b(?:" + "|".join(lx.LANDMARK_WORDS) + r")\b\.?\s+([^,]+)"
