@@ -3,8 +3,11 @@
 Vectors are cut into shards and queries into blocks. Each shard's task builds a ball tree
 over its vectors. A query visits the tree's nodes by the upper bound of its inner product
 with anything in their ball, q . c + |q| r, and stops at the first bound below its k-th
-score so far. First every query searches its home shard; the k-th score found there goes
-with the query to all other shards, which so start with a bound that is already tight.
+score so far. First every query searches its home shard, then the others in waves, each of
+WAVE times as many shards as all before it. The k-th score of all found so far goes with a
+query into every wave, so it rises as more is seen, and only the k best found so far are
+kept between waves. A vector belongs to one wave and to its home pass, so waves move no
+vector twice; their number grows with the logarithm of the shards.
 
 Contract of top_k(): components become floor(256 * x), x as double. Vectors that are null or
 hold null or non-finite components, and rows without a vec_id, take no part. A query is
@@ -28,6 +31,7 @@ SCALE = 256
 LEAF = 64
 SHARD_ROWS = 4096
 QUERY_ROWS = 2048
+WAVE = 3
 _EXACT = float(1 << 53)
 
 
@@ -144,14 +148,19 @@ def top_k(rows: DataFrame, is_query: str, k: int = 5, vector: str = "embedding",
     nowhere = F.lit(float("-inf"))
     home = queries.select("query_id", "v", F.col("home").alias("shard"), "block", nowhere.alias("floor"))
     every = vectors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    first = work.save(search(home, every), "first")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    if shards > 1:
-        floors = first.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("least")).where(F.col("found") >= k).select("query_id", F.col("least").cast("double").alias("least"))
-        known = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("least", nowhere))
-        away = known.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").select("query_id", "v", "shard", "block", "floor")
-        first = first.unionByName(search(away, every))
-    return work.finish(first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+    best = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    found = work.save(best(search(home, every)), "best")
+    begin = 0
+    while shards > 1 and begin < shards:
+        end = min(shards, max(1, begin) * (WAVE + 1))
+        floors = found.where(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("kth"))
+        known = queries.join(floors, "query_id", "left").withColumn("floor", F.coalesce("kth", nowhere))
+        away = known.withColumn("shard", F.explode(F.sequence(F.lit(begin), F.lit(end - 1)))).where("shard <> home").select("query_id", "v", "shard", "block", "floor")
+        more = search(away, every.where(F.col("shard").between(begin, end - 1)))
+        found = work.save(best(found.drop("rank").unionByName(more)), "best")
+        begin = end
+    return work.finish(found.select("query_id", "rank", "vec_id", "score"))
 
 
 ORACLE = f"""
