@@ -1,11 +1,14 @@
 import base64
 import hashlib
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 import pytest
 
-from weftlink.llm import chroma, sharding, topk, urlfilter, warc
+from weftlink.llm import chroma, queries, sharding, topk, urlfilter, warc
 from tests.llm.helpers import edge_docs, empty_docs
 
 
@@ -306,3 +309,49 @@ def test_url_model_separates_held_out_half():
     model = urlfilter.UrlModel.train(blocked[::2] + allowed[::2])
     right = sum((model.probability(*urlfilter.split_url(u)) >= 0.5) == bool(y) for y, u in blocked[1::2] + allowed[1::2])
     assert right >= 0.75 * (len(blocked[1::2]) + len(allowed[1::2]))
+
+
+def _brute_urls(urls):
+    """host, path, rule, verdict and probability by regular expressions, suffix by suffix, and a regression over dictionaries."""
+
+    def grams(host, path):
+        out = {}
+        for mark, text in (("h", f"^{host}$"), ("p", f"^{path}$")):
+            for size in (3, 4, 5):
+                for at in range(len(text) - size + 1):
+                    place = zlib.crc32((mark + text[at : at + size]).encode()) % (1 << 14)
+                    out[place] = out.get(place, 0) + 1
+        length = math.sqrt(sum(c * c for c in out.values())) or 1.0
+        return {p: c / length for p, c in out.items()}
+
+    def parts(url):
+        found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        return (re.sub("[A-Z]+", lambda m: m[0].lower(), found[1]), found[2]) if found else ("", "")
+
+    rows = [(label, grams(*parts(url))) for label, url in urlfilter.LABELLED]
+    weights, bias = {}, 0.0
+    for _ in range(400):
+        steps, total = {}, 0.0
+        for label, own in rows:
+            error = 1 / (1 + math.exp(-(sum(weights.get(p, 0.0) * v for p, v in own.items()) + bias))) - label
+            total += error
+            for p, v in own.items():
+                steps[p] = steps.get(p, 0.0) + error * v
+        weights = {p: weights.get(p, 0.0) * (1 - 4.0 * 1e-3) - 4.0 * steps.get(p, 0.0) / len(rows) for p in {*weights, *steps}}
+        bias -= 4.0 * total / len(rows)
+    for url in urls:
+        host, path = parts(url)
+        labels = host.split(".")
+        fits = [(len(name + rest), name + rest, verdict) for at in range(len(labels)) for verdict, rule in urlfilter.RULES for name, rest in [(rule[: rule.index("/")], rule[rule.index("/") :])] if ".".join(labels[at:]) == name and path.startswith(rest)]
+        _, rule, verdict = max(fits, default=(0, None, None))
+        p = 1 / (1 + math.exp(-(sum(weights.get(g, 0.0) * v for g, v in grams(host, path).items()) + bias)))
+        yield host, path, rule, verdict or ("block" if p >= 0.5 else "allow"), p
+
+
+def test_url_query_equals_brute_force_on_the_whole_table(spark):
+    pages = {r.page_id: r.url for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url").collect()}
+    want = dict(zip(pages, _brute_urls(pages.values()), strict=True))
+    got = queries.op10_url_filter(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(want) > 0
+    for r in got:
+        assert (r.host, r.path, r.rule, r.verdict) == want[r.page_id][:4] and abs(r.block_probability - want[r.page_id][4]) < 1e-9
