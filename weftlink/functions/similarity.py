@@ -104,6 +104,16 @@ def kernels_udf(left: pd.Series, right: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([known[p] for p in zip(left.fillna(""), right.fillna(""), strict=True)], columns=KERNELS)
 
 
+@F.pandas_udf(T.DoubleType())
+def token_set_udf(left: pd.Series, right: pd.Series) -> pd.Series:
+    """token_set() alone, a fraction of the cost of all kernels."""
+    known: dict[tuple[str, str], float] = {}
+    for pair in zip(left.fillna(""), right.fillna(""), strict=True):
+        if pair not in known:
+            known[pair] = token_set(*pair)
+    return pd.Series([known[p] for p in zip(left.fillna(""), right.fillna(""), strict=True)], dtype="float64")
+
+
 def words(text: Column | str) -> Column:
     """Distinct white-space words; none for empty text."""
     column = F.col(text) if isinstance(text, str) else text
