@@ -225,3 +225,25 @@ def test_settings_from_environment(monkeypatch):
     monkeypatch.setenv("WEFTLINK_K_ANN", "7")
     monkeypatch.setenv("WEFTLINK_NATIVE_EMBEDDING", "true")
     assert (Settings.from_environment().k_ann, Settings.from_environment().native_embedding, Settings.from_environment().rate) == (7, True, 0.05)
+
+
+def test_large_searches_copy_no_rows_and_are_exact(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    points = rng.integers(-1, 2, size=(700, 6)).astype(float)  # whole numbers: scores are exact, and most ties are decided by id
+    rows = [(f"S{1 + i % 3}-{i:03d}", f"S{1 + i % 3}", (None, "US", "a|b")[i // 3 % 3], p.tolist()) for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows, "entity_id string, source string, country string, vec array<double>")
+    want = blocking.nearest(frame, k=7).collect()
+    for name, value in {"QUERY_ROWS": 64, "BASE_ROWS": 64, "FILE_ROWS": 50, "QUERIES_AT_ONCE": 16, "BASE_AT_ONCE": 32}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    got = blocking.nearest(frame, k=7)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Cogroup" not in plan and "CoGroup" not in plan and "Generate" not in plan and "Join" not in plan
+    clean = lambda rows: sorted(((r.s1_entity_id, r.cand_entity_id, r.source, r.country or "", round(r.ann_sim, 9), r.ann_rank) for r in rows))
+    assert clean(got.collect()) == clean(want)
+    asked = spark.createDataFrame([(1, "g", [1.0, 0.0]), (1, "h", [1.0, 0.0]), (2, "g", [0.0, 1.0])] * 40, "id long, grp string, vec array<double>")
+    base = spark.createDataFrame([(i, "gh"[i % 2], [1.0, 0.0] if i % 3 else [0.0, 1.0]) for i in range(200)], "id long, grp string, vec array<double>")
+    found = sorted({(r.query_id, r.base_id, r["rank"]) for r in neighbours.exact(asked, base, 3).collect()})
+    monkeypatch.setattr(neighbours, "MEETINGS", 10**9)
+    assert found == sorted({(r.query_id, r.base_id, r["rank"]) for r in neighbours.exact(asked, base, 3).collect()})
