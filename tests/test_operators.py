@@ -247,3 +247,28 @@ def test_large_searches_copy_no_rows_and_are_exact(spark, monkeypatch):
     found = sorted({(r.query_id, r.base_id, r["rank"]) for r in neighbours.exact(asked, base, 3).collect()})
     monkeypatch.setattr(neighbours, "MEETINGS", 10**9)
     assert found == sorted({(r.query_id, r.base_id, r["rank"]) for r in neighbours.exact(asked, base, 3).collect()})
+
+
+def test_bucket_scores_in_blocks_equal_pair_by_pair(spark, monkeypatch):
+    import random
+
+    from weftlink.functions import similarity as sim
+
+    r = random.Random(4)
+    words = ["".join(r.choice("abcé") for _ in range(r.randint(1, 9))) for _ in range(25)] + ["x" * 70]
+    texts = ["", " a a "] + [" ".join(r.choice(words) for _ in range(r.randint(0, 6))) for _ in range(60)]
+    assert sim.token_sets(texts, texts[::-1]).tolist() == [[sim.token_set(a, b) for b in texts[::-1]] for a in texts]
+    rows = [(f"{source}-{i}", source, "US", "TX", "1", r.choice([*texts, None])) for source, n in (("S1", 90), ("S2", 40), ("S3", 12)) for i in range(n)]
+    kinds = "entity_id string, source string, country string, state_code string, house_number string, addr_norm string"
+    want = set()
+    for s1, source, _, _, _, a in rows:
+        for other in ("S2", "S3") if source == "S1" else ():
+            line = sorted((-sim.token_set(a or "", b or ""), name) for name, s, _, _, _, b in rows if s == other)
+            want |= {(s1, name) for _, name in line[:5]}
+    monkeypatch.setattr(blocking, "SCORED_TOGETHER", 16)
+    found = blocking.house_number(spark.createDataFrame(rows, kinds), k=5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan  # no function is called pair by pair
+    assert {(x.s1_entity_id, x.cand_entity_id) for x in found.collect()} == want and found.count() == len(want)
+    doubled = blocking.house_number(spark.createDataFrame(rows + rows[:1], kinds), k=5)
+    assert doubled.where("s1_entity_id = 'S1-0' and source = 'S2'").count() == 5
