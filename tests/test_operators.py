@@ -272,3 +272,31 @@ def test_bucket_scores_in_blocks_equal_pair_by_pair(spark, monkeypatch):
     assert {(x.s1_entity_id, x.cand_entity_id) for x in found.collect()} == want and found.count() == len(want)
     doubled = blocking.house_number(spark.createDataFrame(rows + rows[:1], kinds), k=5)
     assert doubled.where("s1_entity_id = 'S1-0' and source = 'S2'").count() == 5
+
+
+def test_pair_features_pay_only_for_what_they_use(spark, monkeypatch):
+    import random
+
+    from weftlink.functions import similarity as sim
+    from weftlink.operators import features, tfidf
+
+    r = random.Random(6)
+    for _ in range(300):
+        a, b = ("".join(r.choice("ab c") for _ in range(r.randint(0, 9))) for _ in range(2))
+        short, long = (a, b) if len(a) <= len(b) else (b, a)
+        want = float(a == b) if not a or not b else 1.0 if short in long else max(sim.ratio(short, long[max(0, i) : i + len(short)]) for i in range(1 - len(short), len(long)))
+        assert sim.partial(a, b) == want
+    text = ["name_norm", "name_core", "name_alt", "addr_norm", "addr_core", "pincode", "house_number", "state_code", "landmark", "business_address", "country"]
+    kinds = "entity_id string, " + ", ".join(f"{c} string" for c in text) + ", legal_forms array<string>, numeric_tokens array<string>, is_domain boolean, translit boolean"
+    own = spark.createDataFrame([(f"S{i}", *[f"{c} {i} x" for c in text], [], ["1"], False, False) for i in (1, 2)], kinds)
+    numbers = [f for f in features.FEATURES if f in ("n_competitors", "rank_for_cand", "gap_to_best_for_cand", "rank_for_s1", "gap_to_best_for_s1")]
+    pair = spark.sql("select 'S1' s1_entity_id, 'S2' cand_entity_id, 'S2' source, 0.5D ann_sim, 1 ann_rank, 0.5D tfidf_sim, " + ", ".join(f"true {f}" for f in blocking.FLAGS) + ", " + ", ".join(f"1 {f}" for f in numbers))
+    made = features.compute(pair, own)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("kernels_udf(") == 1  # all five kernels on names alone
+    row = made.first()
+    assert row.addr_lev == sim.ratio("addr_norm 1 x", "addr_norm 2 x") and row.name_partial == sim.partial("name_core 1 x", "name_core 2 x")
+    weights = spark.createDataFrame([("a", "x", 0.6), ("a", "y", 0.8), ("b", "y", 1.0), ("c", "z", 1.0)], "entity_id string, gram string, w double")
+    pairs = spark.createDataFrame([("a", "b"), ("a", "b"), ("a", "c"), ("a", "none"), ("b", "b")], "s1_entity_id string, cand_entity_id string")
+    found = tfidf.pair_cosine(pairs, weights, weights)
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()  # grams do not become rows
+    assert sorted(tuple(x) for x in found.collect()) == [("a", "b", 0.8), ("a", "b", 0.8), ("a", "c", 0.0), ("a", "none", 0.0), ("b", "b", 1.0)]
