@@ -276,3 +276,14 @@ def test_pipeline_stages(spark):
     codec = bpe.codec(path, pattern)
     assert sorted((r.doc_id, r.ids_sha256) for r in tables[5].collect()) == sorted((r.doc_id, codec.digest(r.text)[1]) for r in tables[4].collect())
     assert corpus_pipeline.run(spark, folder).count() == tables[5].count()
+
+
+def test_saving_a_table_collects_the_drivers_garbage(spark, monkeypatch):
+    from weftlink.llm import common
+
+    garbage = spark._jvm.java.lang.ref.WeakReference(spark._jvm.java.util.ArrayList())
+    monkeypatch.setattr(common, "HEAP_SHARE", 0)
+    assert common.Workspace(spark, "tidy").save(spark.range(3), "rows").count() == 3
+    assert garbage.get() is None
+    monkeypatch.setattr(common, "HEAP_SHARE", 2)
+    assert not common.tidy(spark)

@@ -45,6 +45,24 @@ def light_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+#: Share of the driver's heap from which its garbage is collected between two tables.
+HEAP_SHARE = 0.4
+
+
+def tidy(spark: SparkSession) -> bool:
+    """Collect the driver's garbage if its heap has grown over HEAP_SHARE; whether it had.
+
+    Plans of tables that were written are garbage, and so are their shuffles and broadcasts, which Spark frees only
+    when the heap is collected. Left alone, the heap grows to its limit over the many plans of one operator.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() <= HEAP_SHARE * runtime.maxMemory():
+        return False
+    gc.collect()  # Python's handles keep the plans alive
+    spark._jvm.System.gc()
+    return True
+
+
 class Workspace:
     """Intermediate tables of one operator call, written to the shared folder.
 
@@ -68,6 +86,7 @@ class Workspace:
         out = self.spark.read.schema(df.schema).parquet(where)
         out._weft_path = where
         self.tables.append(out)
+        tidy(self.spark)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
