@@ -286,4 +286,4 @@ def test_saving_a_table_collects_the_drivers_garbage(spark, monkeypatch):
     assert common.Workspace(spark, "tidy").save(spark.range(3), "rows").count() == 3
     assert garbage.get() is None
     monkeypatch.setattr(common, "HEAP_SHARE", 2)
-    assert not common.tidy(spark)
+    assert not common.collect_garbage(spark)

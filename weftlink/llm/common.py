@@ -49,7 +49,7 @@ def light_batches(spark: SparkSession) -> None:
 HEAP_SHARE = 0.4
 
 
-def tidy(spark: SparkSession) -> bool:
+def collect_garbage(spark: SparkSession) -> bool:
     """Collect the driver's garbage if its heap has grown over HEAP_SHARE; whether it had.
 
     Plans of tables that were written are garbage, and so are their shuffles and broadcasts, which Spark frees only
@@ -86,7 +86,7 @@ class Workspace:
         out = self.spark.read.schema(df.schema).parquet(where)
         out._weft_path = where
         self.tables.append(out)
-        tidy(self.spark)
+        collect_garbage(self.spark)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
