@@ -240,6 +240,61 @@ def test_every_pair_that_matches_meets(spark, monkeypatch, rare, long):
     assert len(near) >= 12 and near <= found
 
 
+@pytest.mark.parametrize("rare", [0, 4, 10**6])
+def test_every_pair_with_a_long_recording_meets(spark, monkeypatch, rare):
+    monkeypatch.setattr(chroma, "RARE", rare)
+    monkeypatch.setattr(chroma, "LONG", 60)
+    rng = np.random.default_rng(13)
+    prints = {}
+    for i in range(24):  # the one long and the other an excerpt of it, both long, or both short, with few different codes
+        x = rng.choice(1 << 20, 40, replace=False)[rng.integers(0, 40, (90, 100, 50)[i % 3])]
+        y = x[int(rng.integers(0, 9)) :][: (40, 90, 45)[i % 3]].copy()
+        away = rng.permutation(len(y))[: len(y) - 7]
+        y[away] ^= 1 << rng.integers(0, 20, len(away))
+        prints[10 * i], prints[10 * i + 1] = x, y
+    reps = spark.createDataFrame([(k, c.tolist()) for k, c in prints.items()], "node long, codes array<long>")
+    none = spark.createDataFrame([], "node long, label long")
+    found = {(r.a, r.b) for r in chroma._sharing(reps, none, chroma.Workspace(spark, "meet")).collect()}
+    near = {(a, b) for a in prints for b in prints if a < b and chroma.matches(prints[a], prints[b])}
+    assert len(near) >= 20 and near <= found
+
+
+def test_rows_that_meet_grow_with_the_recordings(spark, monkeypatch):
+    """Codes that are rare among few recordings are common among many; no table of the search may grow by that."""
+    rng = np.random.default_rng(14)
+    prints = rng.integers(0, 1500, (300, 40))
+    none = spark.createDataFrame([], "node long, label long")
+    kept, save = [], chroma.Workspace.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        kept.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(chroma.Workspace, "save", counted)
+    most = {}
+    for n in (60, 300):
+        kept.clear()
+        chroma._sharing(spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(prints[:n])], "node long, codes array<long>"), none, chroma.Workspace(spark, "grow")).count()
+        most[n] = max(rows for _, rows in kept)
+    assert most[300] <= 8 * most[60], most
+
+
+@pytest.mark.parametrize("bucket", [1, 300, 1 << 18])
+def test_packed_keys_are_those_that_components_share(spark, monkeypatch, bucket):
+    """Packed by ranges of any width, a class has the keys that recordings of different components hold, each once a recording."""
+    rng = np.random.default_rng(15)
+    prints = [(i, i // 2, rng.integers(0, 60, int(rng.integers(1, 50))).tolist()) for i in range(40)]
+    held = spark.createDataFrame(prints, "node long, comp long, codes array<long>").repartition(3)
+    for only in range(5):
+        found = [(r.node, r.comp, r.key & 0xFFFFFFFF) for r in chroma._met(chroma._packed(held, 5, only, 1 + 9000 // bucket), 5, only).collect()]
+        own = {(n, c, int(k)) for n, c, codes in prints for k in chroma.vote_keys(np.array(codes), np.arange(len(codes)), 5, only).view(np.uint64) & np.uint64(0xFFFFFFFF)}
+        comps = {}
+        for _, c, k in own:
+            comps.setdefault(k, set()).add(c)
+        assert len(found) == len(set(found)) > 0 and set(found) == {x for x in own if len(comps[x[2]]) > 1}
+
+
 def test_votes_equal_direct_counts(monkeypatch):
     rng = np.random.default_rng(9)
     x, y = rng.integers(0, 40, 700), rng.integers(0, 40, 300)

@@ -17,11 +17,13 @@ are aligned. Repeated rows are copies. Other columns are not read.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import Workspace
+from weftlink.llm.common import BATCH_ROWS, Workspace
 from weftlink.llm.graph import components
 
 RATE = 4000
@@ -33,11 +35,13 @@ KEYS = 24
 MIN_VOTES = 6
 MAX_ERROR = 0.2
 MIN_OVERLAP = 24
+#: Codes from which a recording is long. Only its common codes have vote keys, and with more places than that of them it meets others by its codes.
+LONG = 1024
 #: Occurrences up to which a code is rare, and classes of common codes: MIN_VOTES votes hold 2 of rare codes or CLASSES + 1 of common ones.
 RARE = 4
 CLASSES = MIN_VOTES - 2
-#: Places of common codes from which a recording has no vote keys, but meets others by its codes.
-LONG = 1024
+#: Vote keys that are looked at together.
+BUCKET = 1 << 18
 #: Recordings with a code or key from which its join is salted, and votes counted at a time.
 HOT_CODE = 1000
 SALTS = 16
@@ -233,20 +237,25 @@ def _postings(reps: DataFrame) -> DataFrame:
     return reps.select("node", "codes").mapInArrow(run, "node long, code long, place int")
 
 
-def vote_keys(code: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Distinct hashes of (code, later code, gap) of all two places whose codes are of one of CLASSES classes.
+@functools.lru_cache(256)
+def _two_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.triu_indices(n, 1)
+
 
-    Of CLASSES + 1 places where two recordings agree at one offset, two are of one class, so both have their hash.
+def vote_keys(code: np.ndarray, place: np.ndarray, classes: int = CLASSES, only: int | None = None) -> np.ndarray:
+    """Distinct hashes of (code, later code, gap) of all two places whose codes are of one class, or of the class `only`.
+
+    Of classes + 1 places where two recordings agree at one offset, two are of one class, so both have their hash.
     """
     mixed = code.astype(np.uint64) * _U(0x9E3779B97F4A7C15)
     mixed ^= mixed >> _U(29)
-    kind, out = mixed % _U(CLASSES), []
-    for k in range(CLASSES):
+    kind, out = mixed % _U(classes), []
+    for k in range(classes) if only is None else (only,):
         at = np.flatnonzero(kind == k)
-        i, j = (at[x] for x in np.triu_indices(len(at), 1))
+        i, j = (at[x] for x in _two_of(len(at)))
         key = (mixed[i] * _U(0xC2B2AE3D27D4EB4F) + mixed[j]) * _U(0xBF58476D1CE4E5B9) + (place[j] - place[i]).astype(np.uint64)
         out.append(np.unique((key ^ (key >> _U(32))) * _U(0x94D049BB133111EB)))
-    return np.unique(np.concatenate(out)).view(np.int64)
+    return np.unique(np.concatenate(out) if len(out) > 1 else out[0]).view(np.int64)
 
 
 def _keyed(held: DataFrame) -> DataFrame:
@@ -279,45 +288,124 @@ def _meet(left: DataFrame, right: DataFrame, key: str, on: str) -> DataFrame:
     return x.join(y, F.expr(f"x.{key} = y.{key} and x.salt = y.salt and x.comp <> y.comp and {on}"))
 
 
+def _packed(held: DataFrame, classes: int, only: int, buckets: int) -> DataFrame:
+    """vote_keys() of a class of every (node, comp, codes), many to a row: each row holds, of some recordings, the keys
+    of one range (bucket) as their low 32 bits, and for each key the place of its recording in nodes and comps."""
+
+    def pack(made, nodes, comps):
+        key = np.concatenate(made).view(np.uint64)
+        owner = np.repeat(np.arange(len(made)), [len(m) for m in made])
+        order = np.argsort(key, kind="stable")
+        key, owner = key[order], owner[order]
+        found, begin = np.unique((key >> _U(32)) * _U(buckets) >> _U(32), return_index=True)
+        for bucket, start, end in zip(found.tolist(), begin, [*begin[1:], len(key)], strict=True):
+            who, index = np.unique(owner[start:end], return_inverse=True)
+            yield bucket, key[start:end].astype(np.uint32).tobytes(), index.astype(np.uint16).tobytes(), nodes[who], comps[who]
+
+    def run(batches):
+        import pyarrow as pa
+
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        names = ["bucket", "low", "owner", "nodes", "comps"]
+        for batch in batches:
+            nodes, comps = (batch.column(i).to_numpy() for i in range(2))
+            made, begin = [], 0
+            for row in range(batch.num_rows):
+                own = batch.column(2)[row].values.to_numpy()
+                made.append(vote_keys(own, np.arange(len(own)), classes, only))
+                if row + 1 == batch.num_rows or len(made) == BATCH_ROWS or sum(map(len, made)) > VOTES // 8:
+                    rows = list(pack(made, nodes[begin : row + 1], comps[begin : row + 1]))
+                    if rows:
+                        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+                    made, begin = [], row + 1
+
+    return held.select("node", "comp", "codes").mapInArrow(run, "bucket long, low binary, owner binary, nodes array<long>, comps array<long>")
+
+
+def _met(packed: DataFrame, classes: int, only: int) -> DataFrame:
+    """(key, node, comp, hot) of the keys of _packed() that recordings of different components hold."""
+
+    def run(table):
+        import pyarrow as pa
+
+        table = table.combine_chunks()
+        bucket, low, owner, nodes, comps = ([v for chunk in table.column(c).chunks for v in chunk] for c in ("bucket", "low", "owner", "nodes", "comps"))
+        owner = [np.frombuffer(v.as_py(), np.uint16) for v in owner]
+        key = np.concatenate([np.frombuffer(v.as_py(), np.uint32) for v in low])
+        node, comp = (np.concatenate([v.values.to_numpy()[o] for v, o in zip(x, owner, strict=True)]) for x in (nodes, comps))
+        order = np.argsort(key, kind="stable")
+        key, node, comp = key[order], node[order], comp[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        size = np.diff(begin, append=len(key))
+        keep = np.repeat(np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin), size)
+        hot = np.repeat(size > HOT_CODE, size)[keep]
+        whole = (bucket[0].as_py() * classes + only) << 32 | key[keep].astype(np.int64)
+        return pa.table([pa.array(whole), pa.array(node[keep]), pa.array(comp[keep]), pa.array(hot)], names=["key", "node", "comp", "hot"])
+
+    return packed.groupBy("bucket").applyInArrow(run, "key long, node long, comp long, hot boolean")
+
+
 def _sharing(reps: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
     """Pairs (a, b) of different components that may have MIN_VOTES votes at one offset; no pair that has them is left out.
 
+    Of MIN_VOTES votes in MIN_VOTES - 1 classes of codes two are of one class, so two recordings that have them share one of
+    their vote_keys(), which, unlike the codes, unrelated recordings hardly ever do. A recording has the same keys
+    however many others there are, n² / (2 * MIN_VOTES - 2) for n places, so all grows with the recordings. Keys are packed
+    by ranges, one class at a time, and become rows only where components share them. Pairs with a long recording are
+    found by _with_long().
+    """
+    held = reps.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("comp"), "codes", (F.size("codes") > LONG).alias("long"))
+    held = work.save(held, "held")
+    short, classes = held.where("not long"), MIN_VOTES - 1
+    places = short.agg(F.sum(F.pow(F.size("codes"), F.lit(2)))).first()[0] or 0
+    buckets = 1 + int(places / (2 * classes**2) / BUCKET)
+    met = [work.save(_met(_packed(short, classes, k, buckets), classes, k), "shared-keys") for k in range(classes)]
+    met = functools.reduce(DataFrame.union, met)
+    pairs = work.save(_meet(met, met, "key", "x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "by-keys")
+    if not held.where("long").isEmpty():
+        pairs = pairs.union(_with_long(held, work))
+    return pairs.distinct()
+
+
+def _with_long(held: DataFrame, work: Workspace) -> DataFrame:
+    """Pairs of _sharing() of which one is long at least.
+
     A rare code occurs at most RARE times in all recordings. A pair with two votes of rare
     codes at one offset meets by these. Any other pair with MIN_VOTES votes has at least
-    CLASSES + 1 of common codes, hence one of the vote_keys() of its common codes, which,
-    unlike the codes, unrelated recordings hardly ever share. Recordings with more than LONG
-    places of common codes, whose keys would grow with the square of that, meet others by
-    the codes: at one offset a code has no more votes than the rarer of its two counts.
-    So rows grow with the codes (rare ones make at most RARE / 2 pairs a code) and the keys.
+    CLASSES + 1 of common codes, hence one of the vote_keys() of its common codes. Recordings
+    with more than LONG places of common codes, whose keys would grow with the square of that,
+    meet others by the codes: at one offset a code has no more votes than the rarer of its
+    two counts. Only codes that a long recording shares with others are looked at.
     """
-    posts = _postings(reps).join(labels, "node", "left").select("node", "code", "place", F.coalesce("label", "node").alias("comp"))
+    posts = _postings(held).join(held.select("node", "comp", "long"), "node")
     posts = work.save(posts, "postings")
-    shared = posts.groupBy("code").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c")).where("c0 <> c1")
+    shared = posts.groupBy("code").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c"), F.max("long").alias("long")).where("c0 <> c1 and long")
     shared = work.save(shared.select("code", (F.col("c") <= RARE).alias("rare")), "shared")
     rest = work.save(posts.join(shared, "code"), "rest")
     work.drop(posts)
+    on = "x.node < y.node and (x.long or y.long)"
     rare = rest.where("rare").withColumn("hot", F.lit(False))
-    votes = _meet(rare, rare, "code", "x.node < y.node").groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.expr("x.place - y.place").alias("offset")).agg(F.count("*").alias("c"))
+    votes = _meet(rare, rare, "code", on).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.expr("x.place - y.place").alias("offset")).agg(F.count("*").alias("c"))
     pairs = work.save(votes.where("c >= 2").select("a", "b"), "by-rare-codes")
 
     common = rest.where("not rare")
-    held = common.groupBy("node", "comp").agg(F.sort_array(F.collect_list(F.struct("place", "code"))).alias("found")).where(F.size("found") > CLASSES)
-    held = work.save(held, "common")
-    keys = work.save(_keyed(held.where(F.size("found") <= LONG)), "vote-keys")
-    both = keys.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c")).where("c0 <> c1")
+    found = common.groupBy("node", "comp").agg(F.sort_array(F.collect_list(F.struct("place", "code"))).alias("found")).where(F.size("found") > CLASSES)
+    found = work.save(found, "common")
+    keys = work.save(_keyed(found.where(F.size("found") <= LONG)).join(held.select("node", "long"), "node"), "vote-keys")
+    both = keys.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("c"), F.max("long").alias("long")).where("c0 <> c1 and long")
     met = work.save(keys.join(both.select("key", (F.col("c") > HOT_CODE).alias("hot")), "key"), "shared-keys")
-    by_keys = _meet(met, met, "key", "x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    by_keys = _meet(met, met, "key", on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     pairs = pairs.union(work.save(by_keys.distinct(), "by-keys"))
 
-    long = held.where(F.size("found") > LONG).select("node")
-    if not long.isEmpty():
+    many = found.where(F.size("found") > LONG).select("node")
+    if not many.isEmpty():
         times = common.groupBy("node", "comp", "code").agg(F.count("*").alias("times"))
         hot = times.groupBy("code").agg((F.count("*") > HOT_CODE).alias("hot"))
         times = work.save(times.join(hot, "code"), "times")
-        votes = _meet(times, times.join(long, "node", "left_semi"), "code", "true").groupBy(F.col("x.node").alias("x"), F.col("y.node").alias("y")).agg(F.sum(F.least("x.times", "y.times")).alias("votes"))
+        votes = _meet(times, times.join(many, "node", "left_semi"), "code", "true").groupBy(F.col("x.node").alias("x"), F.col("y.node").alias("y")).agg(F.sum(F.least("x.times", "y.times")).alias("votes"))
         votes = votes.where(F.col("votes") > CLASSES).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        pairs = pairs.union(work.save(votes.distinct(), "by-long"))
-    return pairs.distinct()
+        pairs = pairs.union(work.save(votes.distinct(), "by-codes"))
+    return pairs
 
 
 def cluster(prints: DataFrame) -> DataFrame:
