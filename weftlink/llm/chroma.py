@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftlink.llm.common import BATCH_ROWS, Workspace
+from weftlink.llm.common import BATCH_ROWS, Workspace, collect_garbage
 from weftlink.llm.graph import components
 
 RATE = 4000
@@ -359,7 +359,10 @@ def _sharing(reps: DataFrame, labels: DataFrame, work: Workspace) -> DataFrame:
     short, classes = held.where("not long"), MIN_VOTES - 1
     places = short.agg(F.sum(F.pow(F.size("codes"), F.lit(2)))).first()[0] or 0
     buckets = 1 + int(places / (2 * classes**2) / BUCKET)
-    met = [work.save(_met(_packed(short, classes, k, buckets), classes, k), "shared-keys") for k in range(classes)]
+    met = []
+    for k in range(classes):
+        met.append(work.save(_met(_packed(short, classes, k, buckets), classes, k), "shared-keys"))
+        collect_garbage(work.spark, 0)  # frees the class's shuffle, of all keys, before the next
     met = functools.reduce(DataFrame.union, met)
     pairs = work.save(_meet(met, met, "key", "x.node < y.node").select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "by-keys")
     if not held.where("long").isEmpty():
@@ -416,6 +419,8 @@ def cluster(prints: DataFrame) -> DataFrame:
     first = work.save(prints.where("name is not null").groupBy("name").agg(F.min("id").alias("copy_of")), "first")
     reps = prints.where("name is not null").dropDuplicates(["name"]).select("name", F.monotonically_increasing_id().alias("node"), "codes", "keys")
     reps = work.save(reps, "reps")
+    names = work.save(prints.select("id", F.size("codes").alias("n_codes"), "name"), "names")
+    work.drop(prints)
     held = reps.select("node", F.explode("keys").alias("key"))
     sizes = work.save(held.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("c")).where("c > 1"), "buckets")
     star = work.save(held.join(sizes, "key").where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star")
@@ -429,6 +434,6 @@ def cluster(prints: DataFrame) -> DataFrame:
     label = work.save(label, "labelled")
     least = work.save(label.groupBy("label").agg(F.min("copy_of").alias("component_id")), "components")
     nodes = work.save(label.join(least, "label").select("name", "copy_of", "component_id"), "by-name")
-    out = prints.select("id", F.size("codes").alias("n_codes"), "name").join(nodes, "name", "left")
+    out = names.join(nodes, "name", "left")
     alone = F.col("name").isNull()
     return work.finish(out.select("id", "n_codes", F.when(alone, F.col("id")).otherwise(F.col("copy_of")).alias("copy_of"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))

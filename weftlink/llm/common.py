@@ -49,14 +49,14 @@ def light_batches(spark: SparkSession) -> None:
 HEAP_SHARE = 0.4
 
 
-def collect_garbage(spark: SparkSession) -> bool:
-    """Collect the driver's garbage if its heap has grown over HEAP_SHARE; whether it had.
+def collect_garbage(spark: SparkSession, share: float = HEAP_SHARE) -> bool:
+    """Collect the driver's garbage if its heap has grown over `share`; whether it had.
 
     Plans of tables that were written are garbage, and so are their shuffles and broadcasts, which Spark frees only
     when the heap is collected. Left alone, the heap grows to its limit over the many plans of one operator.
     """
     runtime = spark._jvm.java.lang.Runtime.getRuntime()
-    if runtime.totalMemory() <= HEAP_SHARE * runtime.maxMemory():
+    if runtime.totalMemory() <= share * runtime.maxMemory():
         return False
     gc.collect()  # Python's handles keep the plans alive
     spark._jvm.System.gc()
