@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from weftlink.functions import similarity as sim
 from weftlink.operators import blocking, decide, metrics, model, neighbours, split, tfidf, validate
 from weftlink.plans import pipeline, surrogate
 from weftlink.sources import tables
@@ -98,6 +99,23 @@ def test_buckets_cap_and_keep_the_best(spark):
     assert blocking.house_number(frame, k=3, cap=2).count() == 2
 
 
+def test_linkage_compares_whole_buckets(spark, monkeypatch):
+    """Without a cap no member of a hot bucket is left out, and blocks of it give the k best by score and id."""
+    monkeypatch.setattr(blocking, "ASKED_TOGETHER", 3, raising=False)
+    monkeypatch.setattr(blocking, "HELD_TOGETHER", 7, raising=False)
+    rest = [(f"{s}-{i:04d}", s, f"oak road {i % 311}" if i % 5 else "oak") for s in ("S2", "S3") for i in range(600)]
+    own = [(f"S1-{i}", "S1", f"oak road {i * 37 % 311}") for i in range(8)] + [("S1-8", "S1", None), ("S1-2", "S1", "oak lane 5")]
+    frame = spark.createDataFrame([(e, s, "US", "TX", "1", t) for e, s, t in own + rest], "entity_id string, source string, country string, state_code string, house_number string, addr_norm string")
+    want = set()
+    for e in {e for e, _, _ in own}:
+        for s in ("S2", "S3"):
+            scored = sorted((-sim.token_set(t or "", u), c) for o, _, t in own if o == e for c, d, u in rest if d == s)
+            want |= {(e, c) for _, c in scored[:10]}
+    settings = pipeline.Settings()
+    got = {(r.s1_entity_id, r.cand_entity_id) for r in blocking.house_number(frame, k=settings.k_housenum, cap=settings.bucket_cap).collect()}
+    assert got == want
+
+
 def test_inverted_lists_recall(spark):
     import numpy as np
 
