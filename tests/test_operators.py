@@ -153,6 +153,24 @@ def test_unseen_grams_have_the_highest_idf(spark):
     assert [r.w for r in tfidf.weights(new, "entity_id", "t", tfidf.fit_idf(known.limit(0), "t")).collect()] == pytest.approx([1 / math.sqrt(6)] * 6)
 
 
+def test_cosines_by_blocks_equal_those_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(tfidf, "FILE_ROWS", 3)
+    monkeypatch.setattr(tfidf, "PAIRS_AT_ONCE", 2)
+    texts = ["oak road oak", "Oak road 12", None, "", "é x  oaks", "qq unseen", "oak\troad", "mill street 7"]
+    rows = [(f"S{1 + i % 2}-{i}", f"S{1 + i % 2}", texts[i % 8]) for i in range(30)] + [("S1-0", "S1", "second form"), ("S1-0", "S2", "third")]
+    records = spark.createDataFrame(rows, "entity_id string, source string, embed_text string")
+    idf = tfidf.fit_idf(records.where("embed_text not like '%unseen%'"), "embed_text")
+    ids = records.select("entity_id", "source").distinct()
+    pairs = ids.where("source = 'S1'").select(F.col("entity_id").alias("s1_entity_id")).crossJoin(ids.where("source <> 'S1'").select(F.col("entity_id").alias("cand_entity_id")))
+    pairs = pairs.union(spark.createDataFrame([("S1-0", "none"), ("none", "S2-1")], pairs.schema)).withColumn("more", F.lit(None).cast("double"))
+    w = tfidf.weights(records, "entity_id", "embed_text", idf)
+    want = {(r[0], r[1]): r.tfidf_sim for r in tfidf.pair_cosine(pairs, w, w).collect()}
+    plans = []
+    monkeypatch.setattr(tfidf, "pair_cosine", lambda *a: plans.append(a))
+    got = {(r[0], r[1]): r.tfidf_sim for r in tfidf.cosines(pairs, records, "entity_id", "embed_text", idf).collect()}
+    assert not plans and len(got) > 200 and got == pytest.approx(want)
+
+
 def test_frequencies_are_of_all_records(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "IDF_SAMPLE", 2, raising=False)
     rows = spark.createDataFrame([(f"e{i}", f"S{1 + i % 3}", f"w{i}") for i in range(10, 40)], "entity_id string, source string, embed_text string")
