@@ -79,3 +79,18 @@ def test_set_measures(spark):
 def test_metaphone():
     keys = {"knight": "NT", "school": "SKL", "phone": "FN", "thumb": "0M", "wright": "RT", "xavier": "SFR", "lamb": "LM", "which": "WX", "caesar": "KSR", "": "", "123": ""}
     assert {w: phonetic.metaphone(w) for w in keys} == keys
+
+
+def test_best_token_sets_need_few_scores(monkeypatch):
+    """The k best of all, with ties, though most pairs are never scored: their letters show that they cannot be among them."""
+    words = ["red", "blue", "plate", "gear", "sons", "Élan", "ba", "kafe", "dobu", "mona", "vuxa", "sitoli", ""]
+    texts = sorted({" ".join(words[(i * s) % 13] for s in (1, 3, 7, 11)[: 1 + i % 4]) + f" {i % 97}" * (i % 3) for i in range(1500)}) + ["", "q"]
+    asked, scored, whole = texts[::31] + ["red unknown"], [], sim.token_set_pairs
+    monkeypatch.setattr(sim, "token_set_pairs", lambda a, b, i, j: scored.append(len(i)) or whole(a, b, i, j))
+    got = list(zip(*(x.tolist() for x in sim.Texts(texts).best(asked, 5)), strict=True))
+    want = []
+    for q, a in enumerate(asked):
+        scores = [sim.token_set(a, b) for b in texts]
+        floor = sorted(scores)[-5]
+        want += [(q, t, s) for t, s in enumerate(scores) if s >= floor]
+    assert got == want and sum(scored) < 0.5 * len(asked) * len(texts)
