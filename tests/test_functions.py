@@ -86,6 +86,7 @@ def test_best_token_sets_need_few_scores(monkeypatch):
     words = ["red", "blue", "plate", "gear", "sons", "Élan", "ba", "kafe", "dobu", "mona", "vuxa", "sitoli", ""]
     texts = sorted({" ".join(words[(i * s) % 13] for s in (1, 3, 7, 11)[: 1 + i % 4]) + f" {i % 97}" * (i % 3) for i in range(1500)}) + ["", "q"]
     asked, scored, whole = texts[::31] + ["red unknown"], [], sim.token_set_pairs
+    monkeypatch.setattr(sim, "LEAST_BOUNDED", 0)
     monkeypatch.setattr(sim, "token_set_pairs", lambda a, b, i, j: scored.append(len(i)) or whole(a, b, i, j))
     got = list(zip(*(x.tolist() for x in sim.Texts(texts).best(asked, 5)), strict=True))
     want = []
